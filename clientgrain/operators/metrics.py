@@ -92,9 +92,24 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
     return ranked.groupBy(*group).agg(area.alias("roc_auc")).select(*by, "roc_auc")
 
 
-def evaluate(scored: DataFrame, label: str, prediction: str, score: str, by: Sequence[str]) -> DataFrame:
-    """(by..., accuracy, precision, recall, f1, roc_auc): one row per group, e.g. model and split."""
-    return class_metrics(scored, label, prediction, by).join(roc_auc(scored, label, score, by), list(by), "left")
+def evaluate(scored: DataFrame, label: str, prediction: str, score: str, by: Sequence[str],
+             single_pass_rows: int = SINGLE_PASS_ROWS) -> DataFrame:
+    """(by..., accuracy, precision, recall, f1, roc_auc): one row per group, e.g. model and split.
+
+    The scored rows are read once: counts per distinct score feed both the
+    class metrics and the area under the curve.
+    """
+    y, p = F.col(label), F.col(prediction)
+    per_score = scored.groupBy(*by, F.col(score).cast("double").alias("_score")).agg(
+        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"),
+        F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
+        F.count_if((y == 0) & (p == 0)).alias("tn"), F.count_if((y == 1) & (p == 0)).alias("fn"))
+    ranked = running_totals(per_score, by, ["_score"], ["neg"], single_pass_rows)
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    totals = ranked.groupBy(*by).agg(
+        *[F.sum(c).alias(c) for c in ("tp", "fp", "tn", "fn")],
+        F.try_divide(F.sum(pos * (F.col("neg_before") + neg / 2)), F.sum(pos) * F.sum(neg)).alias("roc_auc"))
+    return totals.select(*by, *[e.alias(n) for n, e in score_columns().items()], "roc_auc")
 
 
 def overfit_level(train_auc: Column, test_auc: Column) -> Column:

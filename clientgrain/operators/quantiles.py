@@ -59,7 +59,7 @@ def _brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
         levels += [max(0.0, p - margin), min(1.0, p + margin)]
     aggregates = []
     for i, c in enumerate(cols):
-        sketch = F.percentile_approx(F.col(c).cast("double"), [F.lit(x) for x in levels], F.lit(accuracy))
+        sketch = F.percentile_approx(F.col(c).cast("double"), levels, accuracy)
         aggregates += [sketch.alias(f"_s{i}"), F.count(c).alias(f"_n{i}")]
     entries = [
         F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("prob"), F.col(f"_n{i}").alias("n"),
