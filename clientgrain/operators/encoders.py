@@ -79,10 +79,10 @@ class MedianImputer(_ColumnEstimator):
 
 # --- E2 ---------------------------------------------------------------------
 
-LAMBDA_START = [-3.0 + 0.25 * i for i in range(25)]
-LAMBDA_ROUNDS = 3
-LAMBDA_SHIFTS = 8
-LAMBDA_LIMIT = 30.0
+GRID_STEPS = (0.5, 0.04, 0.003)     # one round of candidates each
+GRID_HALF = 6
+GRID_SHIFTS = 12
+POWER_LIMIT = 30.0
 
 
 def yeo_johnson(x: Column, power: Column | float) -> Column:
@@ -108,10 +108,10 @@ def _constants(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[int, float
 
 def _likelihoods(df: DataFrame, grids: dict[str, list[float]], constants: dict[str, tuple[int, float]]) -> dict[str, list[float]]:
     """Log-likelihood per column and candidate power, from one aggregation."""
-    points = [(c, i, power) for c, grid in grids.items() for i, power in enumerate(grid)]
-    candidates = df.sparkSession.createDataFrame(points, "column string, i int, power double")
+    candidates = df.sparkSession.createDataFrame(list(grids.items()), "column string, powers array<double>")
     x = F.col("value")
     rows = melt(df, list(grids)).where(x.isNotNull()).join(F.broadcast(candidates), "column")
+    rows = rows.select("column", "value", F.posexplode("powers").alias("i", "power"))
     spreads = rows.groupBy("column", "i").agg(F.var_pop(yeo_johnson(x, F.col("power"))).alias("v")).collect()
     result = {c: [-math.inf] * len(grid) for c, grid in grids.items()}
     for r in spreads:
@@ -123,6 +123,8 @@ def _likelihoods(df: DataFrame, grids: dict[str, list[float]], constants: dict[s
 
 
 def _parabola_peak(grid: list[float], scores: list[float], i: int) -> float:
+    if i in (0, len(grid) - 1):
+        return grid[i]
     left, mid, right = scores[i - 1], scores[i], scores[i + 1]
     bend = left - 2 * mid + right
     if not all(map(math.isfinite, (left, mid, right))) or bend >= 0:
@@ -133,27 +135,26 @@ def _parabola_peak(grid: list[float], scores: list[float], i: int) -> float:
 def fit_powers(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
     """Maximum-likelihood power per column; 1 for a constant column.
 
-    A few aggregations over all columns at once: a coarse grid, moved outward
-    while its best point is on the edge, then two finer ones around the best.
+    A few aggregations over all columns at once: a coarse grid, then finer ones
+    around the peak so far, each moved along while its best point is on the edge.
     """
     constants = _constants(df, cols)
     powers = {c: 1.0 for c in cols}
-    grids = {c: list(LAMBDA_START) for c in constants}
+    center = dict.fromkeys(constants, 0.0)
     rounds = dict.fromkeys(constants, 0)
-    for _ in range(LAMBDA_ROUNDS + LAMBDA_SHIFTS):
-        open_grids = {c: g for c, g in grids.items() if rounds[c] < LAMBDA_ROUNDS}
-        if not open_grids:
+    for _ in range(len(GRID_STEPS) + GRID_SHIFTS):
+        grids = {c: [center[c] + i * GRID_STEPS[r] for i in range(-GRID_HALF, GRID_HALF + 1)]
+                 for c, r in rounds.items() if r < len(GRID_STEPS)}
+        if not grids:
             break
-        for c, scores in _likelihoods(df, open_grids, constants).items():
+        for c, scores in _likelihoods(df, grids, constants).items():
             grid = grids[c]
-            step = grid[1] - grid[0]
             best = max(range(len(grid)), key=scores.__getitem__)
-            at_edge = best in (0, len(grid) - 1)
-            powers[c] = grid[best] if at_edge else _parabola_peak(grid, scores, best)
-            if not (at_edge and abs(grid[best]) < LAMBDA_LIMIT):
-                rounds[c] += 1
-                step /= 8
-            grids[c] = [grid[best] + (i - 12) * step for i in range(25)]
+            if best in (0, len(grid) - 1) and abs(grid[best]) < POWER_LIMIT:
+                powers[c] = center[c] = grid[best]
+                continue
+            powers[c] = center[c] = _parabola_peak(grid, scores, best)
+            rounds[c] += 1
     return powers
 
 
