@@ -56,14 +56,19 @@ def coverage_counts(store: DataFrame, report: DataFrame,
 
 
 def suggest_kinds(df: DataFrame, columns: Sequence[str] | None = None,
-                  control: Sequence[str] = (contract.ID_COLUMN, contract.TARGET_COLUMN)) -> DataFrame:
+                  control: Sequence[str] = (contract.ID_COLUMN, contract.TARGET_COLUMN),
+                  numeric_flags: bool = True) -> DataFrame:
     """Numeric, categorical or binary for each column, sorted by name.
 
     Whether a column is binary takes one pass over the data, for all columns
-    at once; the rest follows from the schema.
+    at once; the rest follows from the schema.  By default numeric columns
+    holding only 0 and 1 are binary; with ``numeric_flags=False`` numbers stay
+    numeric and the test applies to text, which passes it only when empty.
     """
     columns = [c for c in (columns or df.columns) if c not in control]
     numeric = numeric_columns(df.select(*columns))
     text = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
-    kind = F.when(F.col("column").isin(text), "categorical").when(F.col("is_binary"), "binary").otherwise("numeric")
+    is_text = F.col("column").isin(text)
+    binary = F.col("is_binary") & (~is_text if numeric_flags else is_text)
+    kind = F.when(binary, "binary").when(is_text, "categorical").otherwise("numeric")
     return binary_columns(df, [*numeric, *text]).select("column", kind.alias("kind")).orderBy("column")
