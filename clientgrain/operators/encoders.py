@@ -292,7 +292,7 @@ class CrossFitEncoder(Estimator, _EncoderParams, DefaultParamsReadable, DefaultP
 
 class CrossFitEncoderModel(Model, _EncoderParams, MLWritable, MLReadable):
     overall = Param(Params._dummy(), "overall", "mean label over all training rows", TypeConverters.toFloat)
-    sizes = Param(Params._dummy(), "sizes", "rows of the full and out-of-fold table per column")
+    sizes = Param(Params._dummy(), "sizes", "rows and bytes of text of both tables per column")
 
     @keyword_only
     def __init__(self, *, inputCols=None, labelCol=None, idCol=None, folds=None, seed=None, mode=None, overall=None):
@@ -310,9 +310,11 @@ class CrossFitEncoderModel(Model, _EncoderParams, MLWritable, MLReadable):
         self.held = cut(both.select(
             "column", "category", "fold",
             F.try_divide(F.col("w.s") - F.col("f.s"), F.col("w.n") - F.col("f.n")).alias("mean"), F.col("f.n").alias("n")))
-        sizes = {r["column"]: [r["a"], 0] for r in self.full.groupBy("column").agg(F.count(F.lit(1)).alias("a")).collect()}
-        for r in self.held.groupBy("column").agg(F.count(F.lit(1)).alias("b")).collect():
-            sizes[r["column"]][1] = r["b"]
+        sizes: dict[str, dict[str, list[int]]] = {}
+        for name, table in (("full", self.full), ("held", self.held)):
+            measured = table.groupBy("column").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("category")).alias("text"))
+            for r in measured.collect():
+                sizes.setdefault(r["column"], {})[name] = [r["rows"], r["text"]]
         self._set(sizes=sizes)
         return self
 
@@ -330,7 +332,8 @@ class CrossFitEncoderModel(Model, _EncoderParams, MLWritable, MLReadable):
             if held_out:
                 keys["fold"] = F.col("_fold")
             table = (self.held if held_out else self.full).where(F.col("column") == c)
-            dataset = attach(dataset, keys, table, "mean", "_encoded", sizes[c][1 if held_out else 0])
+            rows, text = sizes[c]["held" if held_out else "full"]
+            dataset = attach(dataset, keys, table, "mean", "_encoded", rows, text)
             dataset = dataset.withColumn(c, F.coalesce("_encoded", overall)).drop("_encoded")
         return dataset.select(*order)
 

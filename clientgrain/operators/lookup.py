@@ -9,40 +9,45 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import MAX_BROADCAST_ROWS
+from ..session import MAX_BROADCAST_ROWS, fits_broadcast
 
-# Keys holding at least this part of the rows are joined by broadcast; there
-# cannot be more than HOT_PARTS of them.
+# Keys holding more than one part in HOT_PARTS of the rows are joined by
+# broadcast; there are fewer than HOT_PARTS of them.  Keys of more than
+# KEY_BYTES are left to the shuffle, which bounds the broadcast in bytes too.
 HOT_PARTS = 1_000
+KEY_BYTES = 4_096
 SPREAD = 4_096
 
 
 def attach(df: DataFrame, keys: Mapping[str, Column], table: DataFrame, value: str, output: str, rows: int,
-           weight: str = "n", limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+           text: int, weight: str = "n", limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Add ``output``: the table's ``value`` for the row's keys, null if there is none.
 
     ``keys`` maps a column of the (unique-keyed) table to an expression over
-    ``df``.  ``rows`` is the table's counted size, ``weight`` its column with
-    the training rows per key.  A table over ``limit`` is joined in two parts:
-    heavy keys by broadcast, the rest by a shuffle in which the rows already
-    served are spread over keys of their own, so no partition gets them all.
+    ``df``.  ``rows`` and ``text`` are the table's counted rows and bytes of
+    text, ``weight`` its column with the training rows per key.  A table over
+    ``limit`` is joined in two parts: heavy keys by broadcast, the rest by a
+    shuffle in which the rows already served are spread over keys of their
+    own, so no partition gets them all.
     """
     def on(side: DataFrame, suffix: str, extra: Column | None = None) -> tuple[DataFrame, Column, list[str]]:
         renamed = side.select(*[F.col(k).alias(f"_t_{k}{suffix}") for k in keys], F.col(value).alias(f"_value{suffix}"))
         condition = reduce(and_, [e == F.col(f"_t_{k}{suffix}") for k, e in keys.items()])
         return renamed, condition if extra is None else condition & extra, [f"_t_{k}{suffix}" for k in keys]
 
-    if rows <= limit:
+    if fits_broadcast(rows, text, limit):
         small, condition, helpers = on(table, "")
         return df.join(F.broadcast(small), condition, "left").drop(*helpers).withColumnRenamed("_value", output)
 
     total = table.agg(F.sum(weight)).first()[0] or 0
-    heavy, heavy_on, heavy_keys = on(table.where(F.col(weight) * HOT_PARTS > total), "_h")
+    short = reduce(and_, [F.octet_length(F.col(k).cast("string")) <= KEY_BYTES for k in keys])
+    is_heavy = (F.col(weight) * HOT_PARTS > F.lit(total)) & short
+    heavy, heavy_on, heavy_keys = on(table.where(is_heavy), "_h")
     served = df.join(F.broadcast(heavy), heavy_on, "left").drop(*heavy_keys)
     turn = F.when(F.col("_value_h").isNull(), F.lit(0)).otherwise(
         F.lit(1) + F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SPREAD)))
     served = served.withColumn("_turn", turn.cast("int"))
-    light, light_on, light_keys = on(table.where(F.col(weight) * HOT_PARTS <= total), "_l", F.col("_turn") == F.col("_zero"))
+    light, light_on, light_keys = on(table.where(~is_heavy), "_l", F.col("_turn") == F.col("_zero"))
     light = light.withColumn("_zero", F.lit(0))
     return (served.join(light, light_on, "left")
             .withColumn(output, F.coalesce("_value_h", "_value_l"))

@@ -147,6 +147,8 @@ def binary_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
         if name in numeric:
             value = F.when(~_is_missing(df, name), F.col(name))
             return F.coalesce(F.bool_and(value.isin(0, 1)), F.lit(True))
+        if isinstance(df.schema[name].dataType, T.BooleanType):
+            return F.lit(True)
         return F.count(name) == 0
 
     row = df.agg(*[check(c).alias(f"_{i}") for i, c in enumerate(columns)])

@@ -26,7 +26,11 @@ MAX_INDEXED_CATEGORIES = 50       # above it a category column is encoded by lab
 
 
 def one_hot_stages(cols: Sequence[str]) -> list:
-    """Constant imputing, then one slot per category; unseen categories give all zeros."""
+    """Constant imputing, then one slot per category; unseen categories give all zeros.
+
+    The vector, and the list of labels on the driver, are as long as the
+    column has categories: for columns with few.
+    """
     indexed, vectors = [f"{c}_idx" for c in cols], [f"{c}_vec" for c in cols]
     return [
         ConstantImputer(inputCols=list(cols), label=MISSING_LABEL),
@@ -143,8 +147,7 @@ def preprocessing(model_name: str, train: DataFrame, lists: FeatureLists, label:
     ``row_features`` adds the derived row features for input that does not
     come from the feature store (which has them already).
     """
-    first: list = [ColumnConformer(fields={f.name: f.dataType.simpleString() for f in train.schema.fields
-                                           if f.name in set(lists.all())})]
+    first: list = [ColumnConformer(fields={c: train.schema[c].dataType.simpleString() for c in lists.all() if c in train.columns})]
     if row_features:
         first.append(RowFeatures())
     if model_name.lower() == "catboost":
@@ -166,6 +169,14 @@ def fit_stages(stages: Sequence, train: DataFrame) -> tuple[PipelineModel, DataF
     return PipelineModel(fitted), train
 
 
+def raw_inputs(model: PipelineModel) -> list[str]:
+    """Input columns a fitted preprocessing was built for, each once, in list order."""
+    for stage in model.stages:
+        if isinstance(stage, ColumnConformer):
+            return list(stage.getOrDefault(stage.fields))
+    return []
+
+
 def feature_names(df: DataFrame, vector: str = FEATURES) -> list[str]:
     """Names of the vector's slots, from the column metadata."""
     groups = df.schema[vector].metadata["ml_attr"]["attrs"]

@@ -7,8 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from .. import contract
-from ..operators.history import aggregate_histories, join_histories
-from ..operators.quantiles import GROUP_ROWS
+from ..operators.history import GROUP_ROWS, aggregate_histories, join_histories
 from ..operators.row_features import add_row_features
 from ..sources.tables import write_store
 

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-# A side of a join is broadcast only after its rows were counted and found to
-# be at most this many.  Rows of the tables we broadcast are under 200 bytes.
-MAX_BROADCAST_ROWS = 100_000
-
+# A side of a join is broadcast only after its rows were counted, and its text
+# measured, and found to be at most this much.
+MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+FIXED_ROW_BYTES = 64
 
 # Settings a session can take at run time.  Wide aggregations have a few hundred
 # fields; above spark.sql.codegen.maxFields (100) Spark would interpret them.
@@ -58,10 +62,10 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session may go without the setting; it gets a temporary one.
     """
     context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     current = context.getCheckpointDir()
-    if current:
+    if current and (not named or urlparse(named).path.rstrip("/") in urlparse(current).path):
         return current
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not named:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
@@ -82,10 +86,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, rows: int, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the counted ``rows`` stay under ``limit``.
+def text_bytes(df: DataFrame, ignore: Sequence[str] = ()) -> int:
+    """Bytes of all text columns; a job over ``df``, which should be small or cut."""
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and f.name not in ignore]
+    if not text:
+        return 0
+    row = df.agg(*[F.coalesce(F.sum(F.octet_length(c)), F.lit(0)).alias(f"_{i}") for i, c in enumerate(text)]).first()
+    return sum(row)
+
+
+def fits_broadcast(rows: int, text: int = 0, limit: int = MAX_BROADCAST_ROWS) -> bool:
+    return rows <= limit and rows * FIXED_ROW_BYTES + text <= MAX_BROADCAST_BYTES
+
+
+def broadcast_if_small(df: DataFrame, rows: int, limit: int = MAX_BROADCAST_ROWS,
+                       bounded_text: Sequence[str] = ("column",)) -> DataFrame:
+    """Broadcast hint when ``df`` (cut, with ``rows`` counted) is small enough.
 
-    Beyond it the join is left to Spark: a shuffle join, with adaptive
-    execution splitting skewed partitions.
+    ``bounded_text`` are columns of column names, whose length no data can
+    stretch.  Beyond the limits the join is left to Spark: a shuffle join,
+    with adaptive execution splitting skewed partitions.
     """
-    return F.broadcast(df) if rows <= limit else df
+    small = fits_broadcast(rows, 0, limit) and fits_broadcast(rows, text_bytes(df, bounded_text), limit)
+    return F.broadcast(df) if small else df

@@ -126,6 +126,7 @@ def test_preprocessing_saves_and_names(spark, data, tmp_path, name):
     model, prepared = R.fit_stages(R.preprocessing(name, df, lists), df)
     names = R.feature_names(prepared)
     assert len(names) == 5 and "num" in names
+    assert R.raw_inputs(model) == ["num", "other", "cat", "rare", "flag"]
     model.write().overwrite().save(str(tmp_path / name))
     loaded = PipelineModel.load(str(tmp_path / name))
     first, second = (m.transform(df).select(ID, vector_to_array(R.FEATURES).alias("x")) for m in (model, loaded))

@@ -71,8 +71,10 @@ def test_hot_client_gets_the_same_statistics(spark):
 def test_large_lookup_with_a_heavy_key(spark):
     facts = spark.createDataFrame([("hot",)] * 400 + [(f"k{i}",) for i in range(200)] + [("unseen",), (None,)], "c string")
     table = spark.createDataFrame([("hot", 0.5, 400_000)] + [(f"k{i}", float(i), 1) for i in range(200)], "category string, mean double, n long")
-    small = attach(facts, {"category": F.col("c")}, table, "mean", "m", rows=201)
-    large = attach(facts, {"category": F.col("c")}, table, "mean", "m", rows=201, limit=100)
+    small = attach(facts, {"category": F.col("c")}, table, "mean", "m", rows=201, text=900)
+    large = attach(facts, {"category": F.col("c")}, table, "mean", "m", rows=201, text=900, limit=100)
+    long_text = attach(facts, {"category": F.col("c")}, table, "mean", "m", rows=201, text=10**9)
+    assert sorted(map(str, small.collect())) == sorted(map(str, long_text.collect()))
     assert small.columns == large.columns == ["c", "m"]
     assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
     assert large.where("m is null").count() == 2 and large.count() == 602

@@ -43,6 +43,29 @@ def test_partitioned_store(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "p")).where("TARGET = 1").count() == 1
 
 
+def test_bucketed_stores_join_without_exchange(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS buckets LOCATION '{tmp_path}/buckets'")
+    df = spark.range(100).select(F.col("id").alias("SK_ID_CURR"), F.col("id").alias("v"))
+    for name in ("buckets.left_store", "buckets.right_store"):
+        tables.write_store_bucketed(df, name, "SK_ID_CURR", 4)
+    joined = spark.table("buckets.left_store").hint("merge").join(spark.table("buckets.right_store"), "SK_ID_CURR")
+    assert "Exchange" not in plan_of(joined) and joined.count() == 100
+
+
+def test_checkpoints_go_to_the_named_folder(spark):
+    from clientgrain.session import scratch_path, shared_folder
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert named in shared_folder(spark) and named in scratch_path(spark, "x")
+
+
+def test_broadcast_depends_on_measured_size(spark):
+    from clientgrain.session import broadcast_if_small
+    df = spark.createDataFrame([("x" * 1000, 1), ("y", 2)], "k string, v int")
+    hinted = lambda d: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
+    assert hinted(broadcast_if_small(df, 2)) and not hinted(broadcast_if_small(df, 2, limit=1))
+    assert not hinted(broadcast_if_small(df.withColumn("k", F.repeat("k", 100_000)), 2))
+
+
 def test_coverage_sections(spark):
     store = spark.createDataFrame([(1, 0, 1.0, "x")], "SK_ID_CURR long, TARGET int, a double, b string")
     report = CV.coverage(store, used=["a"], configured=["a", "zz"])
