@@ -10,6 +10,9 @@ from ..sources import roles
 
 DIGITS = 6
 STD_DIGITS = 4
+# Means of shares are fractions with many factors of two: six digits would
+# put some of them exactly on a rounding boundary.
+SHARE_DIGITS = 9
 
 
 def app(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,7 +25,9 @@ def with_roles(*names: str) -> str:
 
 
 def digits_for(column: str) -> int:
-    return STD_DIGITS if column.endswith("_STD") else DIGITS
+    if column.endswith("_STD"):
+        return STD_DIGITS
+    return SHARE_DIGITS if "STATUS_PCT" in column else DIGITS
 
 
 def rounded(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from ..operators import history as H
 from ..plans.feature_store import build_feature_store
 from ..sources import roles
 from . import query
-from .common import rounded, rounded_sql, with_roles
+from .common import SHARE_DIGITS, rounded, rounded_sql, with_roles
 from .features import EMPLOYED, RAW_COLUMNS, feature_select, row_feature_sql
 
 STAT_SQL = {
@@ -23,7 +23,7 @@ WHOLE_NUMBERS = {"BB_HISTORY_LENGTH", "DAYS_DECISION"}
 def shares_sql(digits: bool) -> str:
     def share(status: str) -> str:
         e = f"CAST(count(*) FILTER (WHERE STATUS = '{status}') AS DOUBLE) / count(STATUS)"
-        return f"round({e}, 6)" if digits else e
+        return f"round({e}, {SHARE_DIGITS})" if digits else e
     columns = ", ".join(f"{share(s)} AS BB_STATUS_PCT_{s}" for s in contract.STATUSES)
     return (f"SELECT SK_ID_BUREAU, {columns}, count(*) AS BB_HISTORY_LENGTH FROM bureau_balance "
             "WHERE SK_ID_BUREAU IS NOT NULL GROUP BY SK_ID_BUREAU HAVING count(STATUS) > 0")
