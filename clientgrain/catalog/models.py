@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import contract
+from ..operators.history import aggregate_histories
 from ..operators.routing import FeatureLists, feature_names, fit_stages, preprocessing
 from ..operators.splits import train_and_test
 from ..plans import selection as SE
@@ -143,4 +144,5 @@ def score_saved_model(spark, sf_dir):
 def score_batch(spark, sf_dir):
     df = stored(spark, sf_dir)
     trained = TR.fit("logistic_regression", train_and_test(df)[0], _small_lists(df), **QUICK["logistic_regression"])
-    return score(roles.role_table(spark, sf_dir, "application"), trained)
+    tables = roles.loan_tables(spark, sf_dir)
+    return score(tables["application"], trained, aggregate_histories(tables))

@@ -38,9 +38,12 @@ def stream_feature_store(spark, sf_dir):
 
 @query()
 def score_stream(spark, sf_dir):
+    """The same rows as ``score_batch``, with the histories stored beforehand."""
     df = stored(spark, sf_dir)
     trained = TR.fit("logistic_regression", train_and_test(df)[0], _small_lists(df), **QUICK["logistic_regression"])
-    return run_available(_applications(spark, sf_dir), lambda stream: score(roles.as_role(stream, "application"), trained),
+    tables = roles.loan_tables(spark, sf_dir)
+    aggregates = HistoryAggregator(tables, scratch_path(spark, "aggregates")).fit(tables["application"]).aggregates
+    return run_available(_applications(spark, sf_dir), lambda stream: score(roles.as_role(stream, "application"), trained, aggregates),
                          scratch_path(spark, "scores"), scratch_path(spark, "progress"))
 
 

@@ -130,6 +130,14 @@ def test_stream_equals_batch(spark, planted, tmp_path):
     assert again.count() == planted.count()
 
 
+def test_registered_stream_and_batch_scores_agree(spark, tiny):
+    from clientgrain import catalog
+    catalog.load()
+    batch, stream = (catalog.QUERIES[n](spark, tiny).select(ID, "prediction", F.round("probability", 9).alias("p"))
+                     for n in ("score_batch", "score_stream"))
+    assert batch.count() == 150 and batch.exceptAll(stream).isEmpty() and stream.exceptAll(batch).isEmpty()
+
+
 def test_request_contract(spark):
     from clientgrain.sources.schemas import scoring_record_schema
     schema = scoring_record_schema()
