@@ -86,7 +86,7 @@ def target_encode_full(spark, sf_dir):
                    f"(SELECT avg(x.TARGET) FROM k x WHERE x.{c} = c.{c} AND x.fold <> f.fold) AS m "
                    f"FROM (SELECT DISTINCT {c} FROM k) c, (SELECT DISTINCT fold FROM k) f)" for i, c in enumerate(CATEGORIES))
        + " SELECT k.SK_ID_CURR, " + ", ".join(f"round(coalesce(o{i}.m, g.m), 6) AS {c}" for i, c in enumerate(CATEGORIES))
-       + " FROM k, g " .replace(", g ", " CROSS JOIN g ")
+       + " FROM k CROSS JOIN g "
        + " ".join(f"LEFT JOIN o{i} ON k.{c} = o{i}.{c} AND k.fold = o{i}.fold" for i, c in enumerate(CATEGORIES)))
 def target_encode_oof(spark, sf_dir):
     df = app(spark, sf_dir).select("SK_ID_CURR", "TARGET", *CATEGORIES)

@@ -12,9 +12,8 @@ from ..functions.hashing import HASH_SPACE
 from ..operators import metrics as MT
 from ..operators import splits as SP
 from . import query
-from .common import app, rounded
+from .common import app, rounded, with_roles
 from .samples import HASH
-from .common import with_roles
 
 # Three score formulas stand in for models; halves and thousandths keep them exact.
 FORMULAS = {
@@ -26,10 +25,14 @@ SCORED = (f"{with_roles('application')}, base AS (SELECT *, CASE WHEN {HASH} < {
           "FROM application), scored AS ("
           + " UNION ALL ".join(f"SELECT '{m}' AS model, split, TARGET AS y, CAST({f} AS DOUBLE) AS score, "
                                f"CAST({f} >= {contract.DEFAULT_THRESHOLD} AS INT) AS yhat FROM base" for m, f in FORMULAS.items()) + ")")
-RATES = ("CAST(sum(CASE WHEN y = yhat THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS accuracy, "
-         "coalesce(CAST(sum(CASE WHEN y = 1 AND yhat = 1 THEN 1 ELSE 0 END) AS DOUBLE) / nullif(sum(yhat), 0), 0) AS precision, "
-         "coalesce(CAST(sum(CASE WHEN y = 1 AND yhat = 1 THEN 1 ELSE 0 END) AS DOUBLE) / nullif(sum(y), 0), 0) AS recall, "
-         "coalesce(CAST(2 * sum(CASE WHEN y = 1 AND yhat = 1 THEN 1 ELSE 0 END) AS DOUBLE) / nullif(sum(yhat) + sum(y), 0), 0) AS f1")
+HITS = "CAST(sum(CASE WHEN y = 1 AND yhat = 1 THEN 1 ELSE 0 END) AS DOUBLE)"
+RATE_SQL = {
+    "accuracy": "CAST(sum(CASE WHEN y = yhat THEN 1 ELSE 0 END) AS DOUBLE) / count(*)",
+    "precision": f"coalesce({HITS} / nullif(sum(yhat), 0), 0)",
+    "recall": f"coalesce({HITS} / nullif(sum(y), 0), 0)",
+    "f1": f"coalesce(2 * {HITS} / nullif(sum(yhat) + sum(y), 0), 0)",
+}
+RATES = ", ".join(f"{e} AS {n}" for n, e in RATE_SQL.items())
 METRICS = (f"{SCORED}, rates AS (SELECT model, split, {RATES} FROM scored GROUP BY model, split), "
            "freq AS (SELECT model, split, score, sum(y) AS pos, count(*) - sum(y) AS neg FROM scored GROUP BY model, split, score), "
            "ranked AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY model, split ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM freq), "
@@ -54,9 +57,8 @@ def confusion_matrix(spark, sf_dir):
     return MT.confusion_matrix(scored(spark, sf_dir).where("model = 'alpha'"), "y", "yhat")
 
 
-@query(f"{SCORED} SELECT model, split, " + ", ".join(f"round({e}, 6) AS {n}" for e, n in (p.rsplit(" AS ", 1) for p in RATES.split(", coalesce")[0:1]))
-       + ", " + ", ".join(f"round(coalesce{e}, 6) AS {n}" for e, n in (p.rsplit(" AS ", 1) for p in RATES.split(", coalesce")[1:]))
-       + " FROM scored GROUP BY model, split")
+@query(f"{SCORED} SELECT model, split, {', '.join(f'round({e}, 6) AS {n}' for n, e in RATE_SQL.items())} "
+       "FROM scored GROUP BY model, split")
 def class_metrics(spark, sf_dir):
     return rounded(MT.class_metrics(scored(spark, sf_dir), "y", "yhat", ["model", "split"]))
 
