@@ -26,11 +26,13 @@ from .tokens import ID_BYTES, encoder
 LENGTH = 2048
 # Remainders are rounded up to this many tokens, which bounds the linear program
 # at LENGTH / UNIT rows and wastes UNIT / 2 tokens a remainder.
-UNIT = 8
+UNIT = 16
 # Ranks are counted in this many slices of each class (more for large inputs),
 # so that a length many documents share is not ranked by one task.
 SLICES = 64
 SLICE_ROWS = 50_000
+# Rounds of the linear program without progress before it ends.
+PATIENCE = 10
 
 PIECE = T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
                       T.StructField("ids_crc32", T.LongType())])
@@ -59,55 +61,76 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int
             .select("doc_id", "doc_tokens", F.explode("pieces").alias("p")).select("doc_id", "doc_tokens", "p.*"))
 
 
-def best_pattern(values: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, Counter]:
-    """The most valuable multiset of sizes that fits: unbounded knapsack by dynamic programming."""
+def best_patterns(values: np.ndarray, sizes: np.ndarray, room: int) -> list[tuple[float, Counter]]:
+    """For each size the most valuable multiset that holds it and fits, best first.
+
+    One unbounded knapsack recursion over the room answers for all sizes.
+    """
     worth = np.zeros(room + 1)
     choice = np.full(room + 1, -1)
-    for space in range(1, room + 1):
+    for space in range(int(sizes[0]), room + 1):
         fits = np.searchsorted(sizes, space, side="right")
-        worth[space] = worth[space - 1]
-        if fits:
-            total = worth[space - sizes[:fits]] + values[:fits]
-            best = int(np.argmax(total))
-            if total[best] > worth[space] + 1e-12:
-                worth[space], choice[space] = total[best], best
-    pattern, space = Counter(), room
-    while space > 0:
-        if choice[space] < 0:
-            space -= 1
+        total = worth[space - sizes[:fits]] + values[:fits]
+        best = int(np.argmax(total))
+        if total[best] > worth[space - 1] + 1e-12:
+            worth[space], choice[space] = total[best], best
         else:
-            pattern[int(choice[space])] += 1
-            space -= int(sizes[choice[space]])
-    return float(worth[room]), pattern
+            worth[space] = worth[space - 1]
+
+    def filled(first: int) -> Counter:
+        pattern, space = Counter({first: 1}), room - int(sizes[first])
+        while space > 0:
+            if choice[space] < 0:
+                space -= 1
+            else:
+                pattern[int(choice[space])] += 1
+                space -= int(sizes[choice[space]])
+        return pattern
 
+    total = values + worth[room - sizes]
+    return [(float(total[i]), filled(int(i))) for i in np.argsort(-total) if total[i] > 1]
 
-def fractional_patterns(sizes: np.ndarray, demand: np.ndarray, room: int, tolerance: float = 1e-6) -> list[tuple[Counter, float]]:
-    """Patterns and how often each is used, fewest sequences in all (revised simplex, columns as needed)."""
+
+def fractional_patterns(sizes: np.ndarray, demand: np.ndarray, room: int, tolerance: float = 1e-3) -> list[tuple[Counter, float]]:
+    """Patterns and how often each is used, fewest sequences in all.
+
+    Revised simplex; columns are made as the prices ask for them.  It ends when
+    no pattern is worth more than ``1 + tolerance`` sequences, which bounds the
+    distance from the optimum by the same factor, or when ``PATIENCE`` rounds
+    brought next to nothing.
+    """
     m = len(sizes)
     patterns = [Counter({i: int(room // s)}) for i, s in enumerate(sizes)]
     inverse = np.diag([1.0 / p[i] for i, p in enumerate(patterns)])
     used = inverse @ demand
-    for _ in range(30 * m):
-        prices = inverse.sum(axis=0)
-        value, pattern = best_pattern(prices, sizes, room)
-        if value <= 1 + tolerance:
+    totals: list[float] = []
+    while True:
+        totals.append(float(used.sum()))
+        if len(totals) > PATIENCE and totals[-1] > totals[-1 - PATIENCE] * (1 - tolerance / 10):
             break
-        column = np.zeros(m)
-        for i, n in pattern.items():
-            column[i] = n
-        direction = inverse @ column
-        rising = direction > 1e-9
-        if not rising.any():
+        offered = best_patterns(inverse.sum(axis=0), sizes, room)
+        if not offered or offered[0][0] <= 1 + tolerance:
             break
-        steps = np.where(rising, used / np.where(rising, direction, 1.0), np.inf)
-        leave = int(np.argmin(steps))
-        step = max(0.0, float(steps[leave]))
-        used = used - step * direction
-        used[leave] = step
-        pivot = inverse[leave] / direction[leave]
-        inverse = inverse - np.outer(direction, pivot)
-        inverse[leave] = pivot
-        patterns[leave] = pattern
+        for _, pattern in offered:
+            column = np.zeros(m)
+            column[list(pattern)] = list(pattern.values())
+            direction = inverse @ column
+            # Its worth at today's prices; earlier columns of this round changed them.
+            if direction.sum() <= 1 + tolerance / 2:
+                continue
+            rising = direction > 1e-9
+            if not rising.any():
+                continue
+            steps = np.full(m, np.inf)
+            steps[rising] = used[rising] / direction[rising]
+            leave = int(np.argmin(steps))
+            step = max(0.0, float(steps[leave]))
+            used = used - step * direction
+            used[leave] = step
+            pivot = inverse[leave] / direction[leave]
+            inverse = inverse - np.outer(direction, pivot)
+            inverse[leave] = pivot
+            patterns[leave] = pattern
     return [(p, max(0.0, float(u))) for p, u in zip(patterns, used)]
 
 
