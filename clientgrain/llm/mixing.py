@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import cut
+from ..session import broadcast_if_small, cut
 
 WORDS = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -128,6 +128,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
             .select("doc_id", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken")))
 
 
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
+               weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST_REPEATS) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, unchanged; texts without words go."""
+    sizes = cut(sized(docs, id_col, text, source))
+    limits = cut(thresholds(sizes, with_targets(weighted_sources(sizes, weights), share, most)).select("source", "repeats", "upto"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(source).alias("own"),
+                       doc_hash(F.col(id_col)).alias("hash"), F.col(text).cast("string").rlike(r"[^\x20\x09-\x0D]").alias("worded"))
+    taken = (rows.where("worded").join(broadcast_if_small(limits, limits.count()), F.col("own").eqNullSafe(F.col("source")))
+             .withColumn("copies", (F.col("repeats") + (F.col("hash") <= F.col("upto")).cast("long")).cast("int")))
+    return (taken.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*"))
+
+
 MIX_SQL = r"""
 WITH sizes AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..session import cut
+from ..session import broadcast_if_small, cut
 from .texts import map_texts, words_of
 
 SYMBOLS = "#*$%&|<>"
@@ -192,3 +192,12 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text: str = "text", l
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(lang).alias("lang"), F.col(source).alias("source"), F.col(text).alias("text"))
     measured = cut(measure(slim, ["doc_id", "lang", "source"]))
     return judge(measured).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def kept_rows(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, unchanged, whatever their columns are called."""
+    keys = [F.col(lang).alias("lang"), F.col(source).alias("source"), F.col(text).alias("text")]
+    limits = cut(thresholds(sketches(cut(measure(docs.select(*keys), ["lang", "source"])), "lang", "source")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *keys)
+    judged = judge(measure(rows, ["row", "lang", "source"]), limits=broadcast_if_small(limits, limits.count()))
+    return judged.where("kept").select("row.*")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import mixing, packing, quality_rules, token_files
+from . import mixing, ngram_join, packing, passage_dedup, quality_rules, token_files
 from .texts import table
 from .tokens import tokenizer_path
 
@@ -21,6 +21,11 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -34,6 +39,11 @@ def op4_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+@query
+def op7_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "records")
