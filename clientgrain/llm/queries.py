@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import mixing, ngram_join, packing, passage_dedup, quality_rules, token_files
+from . import mixing, ngram_join, packing, passage_dedup, quality_rules, token_files, vector_dedup
 from .texts import table
 from .tokens import tokenizer_path
 
@@ -39,6 +39,11 @@ def op4_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+@query
+def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.vector_dedup(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op7_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))
