@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import mixing, ngram_join, packing, passage_dedup, quality_rules, token_files, vector_dedup
+from . import (html_text, license_scan, mixing, ngram_join, packing, passage_dedup, quality_model, quality_rules,
+               token_files, vector_dedup)
 from .texts import table
 from .tokens import tokenizer_path
 
@@ -34,6 +34,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op2_mix_sources"] = mixing.MIX_SQL
 
 
+@query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
@@ -44,6 +49,11 @@ def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.vector_dedup(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_model(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))
@@ -59,3 +69,8 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
