@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import (html_text, license_scan, mixing, ngram_join, packing, passage_dedup, quality_model, quality_rules,
+from . import (html_text, license_scan, mixing, ngram_join, oracles, packing, passage_dedup, quality_model, quality_rules,
                token_files, vector_dedup)
 from .texts import table
 from .tokens import tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_ngram_join": oracles.NGRAM_JOIN_SQL,
+    "op2_mix_sources": mixing.MIX_SQL,
+    "op5_vector_dedup": oracles.VECTOR_DEDUP_SQL,
+    "op7_passage_dedup": oracles.PASSAGE_DEDUP_SQL,
+    "op9_quality_rules": oracles.quality_sql(),
+}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -31,9 +37,6 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-SQL["op2_mix_sources"] = mixing.MIX_SQL
-
-
 @query
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
