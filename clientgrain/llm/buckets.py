@@ -18,14 +18,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..session import cut
+from ..session import broadcast_if_small, cut
 from .texts import small_batches, words_of
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 # Sets of a bucket that one task holds together; two blocks meet in a tile.
-BLOCK = 128
+BLOCK = 256
 # Standard errors below the threshold at which a sketch still counts as a candidate.
 SLACK = 5.0
 
@@ -250,16 +251,34 @@ def count_links(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterat
 
 
 def tiled(members: DataFrame) -> DataFrame:
-    """Rows (id, key, n) to one row for each tile of the bucket the set belongs to.
+    """Rows (id, key, n) to one row (id, key, block, tile) for each tile of the bucket the set belongs to.
 
-    ``tile`` is even for a block by itself and odd for two blocks.
+    A bucket of at most ``BLOCK`` sets is one tile.  In larger ones sets are
+    blocked by home, the lowest large bucket a set is in: two sets of one home
+    meet there, so only blocks of different homes, or of sets at home, need a
+    tile in other buckets.  Copies that share most buckets are thus compared in
+    one of them.  ``tile`` is even for a block by itself and odd for two blocks.
     """
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("id", "key"), blocks).cast("int")
-    low, high = F.least("block", "other"), F.greatest("block", "other")
-    return (members.withColumn("blocks", blocks).withColumn("block", block)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("id", "key", "block", ((low * F.col("blocks") + high).cast("long") * 2 + (low != high).cast("long")).alias("tile")))
+    small = members.where(F.col("n") <= BLOCK).select("id", "key", F.lit(0).alias("block"), F.lit(0).cast("long").alias("tile"))
+    large = members.where(F.col("n") > BLOCK)
+    home = large.groupBy("id").agg(F.min("key").alias("home"))
+    large = cut(large.select("id", "key").join(home, "id"))
+    # Guests from homes with few sets here are blocked together, as if at home: they meet everybody.
+    few = large.groupBy("key", "home").agg(F.count("*").alias("guests")).where(F.col("guests") < BLOCK).select("key", "home", F.lit(True).alias("few"))
+    large = cut(large.join(few, ["key", "home"], "left").select("id", "key", F.when(F.col("few"), F.col("key")).otherwise(F.col("home")).alias("home")))
+    parts = large.groupBy("key", "home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    first = F.sum("parts").over(Window.partitionBy("key").orderBy("home")) - F.col("parts")
+    parts = cut(parts.select("key", "home", "parts", first.cast("int").alias("first"), F.sum("parts").over(Window.partitionBy("key")).alias("all")))
+    n = parts.count()
+    if not n:
+        return small
+    blocks = cut(parts.select("key", F.col("home").alias("other_home"), F.explode(F.sequence(F.col("first"), F.col("first") + F.col("parts") - 1)).alias("other")))
+    placed = (large.join(broadcast_if_small(parts, n), ["key", "home"])
+              .withColumn("block", F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")))
+    met = (placed.join(broadcast_if_small(blocks, blocks.count()), "key")
+           .where((F.col("home") == F.col("key")) | (F.col("other_home") == F.col("key")) | (F.col("home") != F.col("other_home"))))
+    low, high = F.least("block", "other").cast("long"), F.greatest("block", "other")
+    return small.unionByName(met.select("id", "key", "block", ((low * F.col("all") + high) * 2 + (low != high).cast("long")).cast("long").alias("tile")))
 
 
 def linked_sets(items: DataFrame, entries: DataFrame, sets: Callable[[DataFrame], DataFrame],

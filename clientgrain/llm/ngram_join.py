@@ -11,6 +11,7 @@ probability; as many runs are made as the wanted recall asks for.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,9 @@ WIDTH = 4
 BRANCHES = 2
 # Buckets that are still large after so many splits are compared in tiles.
 DEPTH = 3
+# So are buckets of which a split leaves at least this share together: their sets
+# are alike, and splitting them again would only repeat them.
+DENSE = 0.5
 
 FACTS = T.StructType([T.StructField("id", T.BinaryType()), T.StructField("size", T.IntegerType()), T.StructField("sketch", T.BinaryType())])
 
@@ -55,20 +59,27 @@ def sketched(docs: DataFrame, size: int) -> DataFrame:
 def chosen_paths(items: DataFrame, runs: int) -> DataFrame:
     """The distinct (id, key) of the buckets at the ends of all paths."""
     sketches = items.select("id", "sketch")
-    large = sketches.withColumn("path", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(runs - 1).cast("long"))))
-    ends = None
+    large = (sketches.withColumn("path", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(runs - 1).cast("long"))))
+             .withColumn("of", F.lit(None).cast("long")))
+    ends = []
     for depth in range(1, DEPTH + 1):
         at = [F.pmod(F.xxhash64("path", F.lit(b)), F.lit(POSITIONS)).cast("int") for b in range(BRANCHES)]
-        split = cut(large.select("id", F.explode(F.array_distinct(F.array(*[path_key(F.col("path"), p, F.col("sketch"), WIDTH) for p in at]))).alias("key")))
-        counts = cut(split.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+        children = F.array_distinct(F.array(*[path_key(F.col("path"), p, F.col("sketch"), WIDTH) for p in at]))
+        split = cut(large.select("id", "path", "of", F.explode(children).alias("key")))
+        counts = cut(split.groupBy("key").agg(F.count("*").alias("n"), F.first("path").alias("path"), F.first("of").alias("of")).where("n > 1"))
+        dense = cut(counts.where(F.col("n") >= F.col("of") * DENSE).select("path").distinct())
+        n_dense = dense.count()
+        if n_dense:
+            ends.append(split.join(broadcast_if_small(dense, n_dense), "path").select("id", F.col("path").alias("key")).distinct())
+            counts = cut(counts.join(broadcast_if_small(dense, n_dense), "path", "left_anti"))
         last = depth == DEPTH
-        small = split.join((counts if last else counts.where(F.col("n") <= BLOCK)).select("key"), "key")
-        ends = small if ends is None else ends.unionByName(small)
-        if last or counts.where(F.col("n") > BLOCK).isEmpty():
+        ends.append(split.select("id", "key").join((counts if last else counts.where(F.col("n") <= BLOCK)).select("key"), "key").select("id", "key"))
+        more = counts.where(F.col("n") > BLOCK)
+        if last or more.isEmpty():
             break
-        large = (split.join(counts.where(F.col("n") > BLOCK).select("key"), "key").join(sketches, "id")
-                 .select("id", "sketch", F.col("key").alias("path")))
-    return ends
+        large = (split.select("id", "key").join(more.select("key", F.col("n").alias("of")), "key").join(sketches, "id")
+                 .select("id", "sketch", F.col("key").alias("path"), "of"))
+    return reduce(DataFrame.unionByName, ends)
 
 
 def ngram_join(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE_WORDS, recall: float = RECALL,
