@@ -165,11 +165,11 @@ def coerce_numeric(spark, sf_dir):
     return raw.select("o_orderkey", S.to_number("raw").alias("amount"))
 
 
-MIXED_FLAG = ("CASE SK_ID_CURR % 5 WHEN 0 THEN lower(FLAG_OWN_CAR) WHEN 1 THEN NULL ELSE FLAG_OWN_CAR END")
+MIXED_FLAG = ("CASE SK_ID_CURR % 5 WHEN 0 THEN lower(FLAG_OWN_CAR) WHEN 1 THEN NULL WHEN 2 THEN 'XNA' ELSE FLAG_OWN_CAR END")
 
 
 @query(f"{APPLICATION}, t AS (SELECT SK_ID_CURR, {MIXED_FLAG} AS flag, CODE_GENDER FROM application) "
-       "SELECT SK_ID_CURR, CAST(CASE WHEN upper(flag) = 'Y' THEN 1 WHEN upper(flag) = 'N' THEN 0 END AS INT) AS flag, "
+       "SELECT SK_ID_CURR, CASE WHEN upper(flag) = 'Y' THEN '1' WHEN upper(flag) = 'N' THEN '0' ELSE flag END AS flag, "
        "CODE_GENDER FROM t")
 def yes_no(spark, sf_dir):
     df = app(spark, sf_dir).selectExpr("SK_ID_CURR", f"{MIXED_FLAG} AS flag", "CODE_GENDER")

@@ -109,6 +109,13 @@ FULL_STORE = (
 )
 
 
+def store_columns() -> list[str]:
+    """The columns FULL_STORE gives."""
+    bureau = [ST.stat_name("BUREAU", c, s) for c in BUREAU_COLUMNS for s in ST.SEVEN_STATS]
+    previous = [ST.stat_name("PREV", c, s) for c in ("AMT_APPLICATION", "DAYS_DECISION") for s in ST.FOUR_STATS]
+    return [*RAW_COLUMNS, *row_feature_sql(contract.STORE_EPSILON), *bureau, "BUREAU_CREDIT_COUNT", *previous, "PREV_APPLICATION_COUNT"]
+
+
 @query(FULL_STORE)
 def feature_store_full(spark, sf_dir):
     return rounded(build_feature_store(roles.loan_tables(spark, sf_dir)))

@@ -12,15 +12,13 @@ from .common import app, with_roles
 APPLICATION = with_roles("application")
 
 
-@query("SELECT n_name AS name FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9000) "
-       "AND n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)")
+@query("SELECT DISTINCT p_name AS name FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R') "
+       "AND p_name NOT IN (SELECT p_name FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R'))")
 def name_difference(spark, sf_dir):
-    nation = roles.read(spark, sf_dir, "nation")
-    customers = roles.read(spark, sf_dir, "customer").where("c_acctbal > 9000").selectExpr("c_nationkey AS n_nationkey")
-    suppliers = roles.read(spark, sf_dir, "supplier").where("s_acctbal > 5000").selectExpr("s_nationkey AS n_nationkey")
-    left = nation.join(customers, "n_nationkey").selectExpr("n_name AS name")
-    right = nation.join(suppliers, "n_nationkey").selectExpr("n_name AS name")
-    return CV.difference(left, right)
+    """Names of all parts less those of the parts that were ever returned."""
+    part = roles.read(spark, sf_dir, "part").selectExpr("p_partkey AS l_partkey", "p_name AS name")
+    lines = roles.read(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+    return CV.difference(part, part.join(lines, "l_partkey", "left_semi"))
 
 
 @query("SELECT p_brand AS name, min(p_partkey) AS position FROM part GROUP BY p_brand")

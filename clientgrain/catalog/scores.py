@@ -44,7 +44,7 @@ METRICS = (f"{SCORED}, rates AS (SELECT model, split, {RATES} FROM scored GROUP
 
 
 def scored(spark, sf_dir) -> DataFrame:
-    flagged = SP.stratified_holdout(app(spark, sf_dir))
+    flagged = SP.stratified_holdout(app(spark, sf_dir), exact=False)
     base = flagged.withColumn("split", F.when(F.col("is_test") == 1, "test").otherwise("train"))
     return reduce(DataFrame.unionByName, [
         base.selectExpr(f"'{m}' AS model", "split", "TARGET AS y", f"CAST({f} AS DOUBLE) AS score",
@@ -52,9 +52,10 @@ def scored(spark, sf_dir) -> DataFrame:
 
 
 @query(f"{SCORED}, cells AS (SELECT * FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(actual, predicted)) "
-       "SELECT actual, predicted, (SELECT count(*) FROM scored WHERE model = 'alpha' AND y = actual AND yhat = predicted) AS n FROM cells")
+       "SELECT m.model, m.split, actual, predicted, (SELECT count(*) FROM scored s WHERE s.model = m.model AND s.split = m.split "
+       "AND y = actual AND yhat = predicted) AS n FROM cells, (SELECT DISTINCT model, split FROM scored) m")
 def confusion_matrix(spark, sf_dir):
-    return MT.confusion_matrix(scored(spark, sf_dir).where("model = 'alpha'"), "y", "yhat")
+    return MT.confusion_matrix(scored(spark, sf_dir), "y", "yhat", ["model", "split"])
 
 
 @query(f"{SCORED} SELECT model, split, {', '.join(f'round({e}, 6) AS {n}' for n, e in RATE_SQL.items())} "
@@ -63,24 +64,24 @@ def class_metrics(spark, sf_dir):
     return rounded(MT.class_metrics(scored(spark, sf_dir), "y", "yhat", ["model", "split"]))
 
 
-CELLS = ("c AS (SELECT CAST(count(*) FILTER (WHERE y = 1 AND yhat = 1) AS DOUBLE) AS tp, CAST(count(*) FILTER (WHERE y = 0 AND yhat = 1) AS DOUBLE) AS fp, "
+CELLS = ("c AS (SELECT model, split, CAST(count(*) FILTER (WHERE y = 1 AND yhat = 1) AS DOUBLE) AS tp, CAST(count(*) FILTER (WHERE y = 0 AND yhat = 1) AS DOUBLE) AS fp, "
          "CAST(count(*) FILTER (WHERE y = 0 AND yhat = 0) AS DOUBLE) AS tn, CAST(count(*) FILTER (WHERE y = 1 AND yhat = 0) AS DOUBLE) AS fn "
-         "FROM scored WHERE model = 'beta')")
-PER_CLASS = ("p AS (SELECT '0' AS class, coalesce(tn / nullif(tn + fn, 0), 0) AS precision, coalesce(tn / nullif(tn + fp, 0), 0) AS recall, "
+         "FROM scored GROUP BY model, split)")
+PER_CLASS = ("p AS (SELECT model, split, '0' AS class, coalesce(tn / nullif(tn + fn, 0), 0) AS precision, coalesce(tn / nullif(tn + fp, 0), 0) AS recall, "
              "coalesce(2 * tn / nullif(2 * tn + fn + fp, 0), 0) AS f1, CAST(tn + fp AS BIGINT) AS support FROM c UNION ALL "
-             "SELECT '1', coalesce(tp / nullif(tp + fp, 0), 0), coalesce(tp / nullif(tp + fn, 0), 0), "
+             "SELECT model, split, '1', coalesce(tp / nullif(tp + fp, 0), 0), coalesce(tp / nullif(tp + fn, 0), 0), "
              "coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), CAST(tp + fn AS BIGINT) FROM c)")
-ALL_LINES = ("l AS (SELECT * FROM p UNION ALL SELECT 'accuracy', (tp + tn) / (tp + fp + tn + fn), (tp + tn) / (tp + fp + tn + fn), "
+ALL_LINES = ("l AS (SELECT * FROM p UNION ALL SELECT model, split, 'accuracy', (tp + tn) / (tp + fp + tn + fn), (tp + tn) / (tp + fp + tn + fn), "
              "(tp + tn) / (tp + fp + tn + fn), CAST(tp + fp + tn + fn AS BIGINT) FROM c UNION ALL "
-             "SELECT 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM p UNION ALL "
-             "SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support), "
-             "sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM p)")
+             "SELECT model, split, 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM p GROUP BY model, split UNION ALL "
+             "SELECT model, split, 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support), "
+             "sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM p GROUP BY model, split)")
 
 
-@query(f"{SCORED}, {CELLS}, {PER_CLASS}, {ALL_LINES} SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, "
+@query(f"{SCORED}, {CELLS}, {PER_CLASS}, {ALL_LINES} SELECT model, split, class, round(precision, 6) AS precision, round(recall, 6) AS recall, "
        "round(f1, 6) AS f1, support FROM l")
 def class_report(spark, sf_dir):
-    return rounded(MT.class_report(scored(spark, sf_dir).where("model = 'beta'"), "y", "yhat"))
+    return rounded(MT.class_report(scored(spark, sf_dir), "y", "yhat", ["model", "split"]))
 
 
 @query(f"{METRICS} SELECT model, split, round(roc_auc, 6) AS roc_auc FROM auc")
@@ -102,6 +103,29 @@ def roc_auc_sliced(spark, sf_dir):
     return rounded(MT.roc_auc(lines, "y", "score", single_pass_rows=1_000))
 
 
+NULL_GROUP = "CASE WHEN SK_ID_CURR % 3 = 0 THEN NULL ELSE NAME_EDUCATION_TYPE END"
+NULL_AUC = (f"{SCORED}, g AS (SELECT {NULL_GROUP} AS grp, TARGET AS y, coalesce(EXT_SOURCE_1, 0.5) AS score FROM application), "
+            "freq AS (SELECT grp, score, sum(y) AS pos, count(*) - sum(y) AS neg FROM g GROUP BY grp, score), "
+            "ranked AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY grp ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM freq) "
+            "SELECT grp, round(CAST(sum(pos * (below + neg / 2)) AS DOUBLE) / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0), 6) AS roc_auc FROM ranked GROUP BY grp")
+
+
+def _null_groups(spark, sf_dir) -> DataFrame:
+    return app(spark, sf_dir).selectExpr(f"{NULL_GROUP} AS grp", "TARGET AS y", "CAST(coalesce(EXT_SOURCE_1, 0.5) AS DOUBLE) AS score")
+
+
+@query(NULL_AUC)
+def roc_auc_null_group(spark, sf_dir):
+    """Rows without a group are a group of their own."""
+    return rounded(MT.roc_auc(_null_groups(spark, sf_dir), "y", "score", ["grp"]))
+
+
+@query(NULL_AUC)
+def roc_auc_null_group_sliced(spark, sf_dir):
+    """The same by range slices."""
+    return rounded(MT.roc_auc(_null_groups(spark, sf_dir), "y", "score", ["grp"], single_pass_rows=5))
+
+
 def _rounded_metrics(columns) -> str:
     return ", ".join(f"round({c}, 6) AS {c}" for c in columns)
 

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 from .. import contract
 from ..operators.history import HistoryAggregator, join_histories
 from ..operators.row_features import add_row_features
-from ..operators.splits import train_and_test
-from ..plans import training as TR
 from ..plans.scoring import check_records, score
 from ..session import scratch_path
 from ..sources import roles
@@ -16,7 +14,7 @@ from ..streaming.scoring import application_stream, run_available
 from . import query
 from .common import rounded, with_roles
 from .histories import FULL_STORE
-from .models import QUICK, _small_lists, stored
+from .models import SCORE_SQL, checked_scores, saved_model
 
 
 def _applications(spark, sf_dir):
@@ -36,11 +34,14 @@ def stream_feature_store(spark, sf_dir):
     return rounded(run_available(_applications(spark, sf_dir), features, scratch_path(spark, "stream"), scratch_path(spark, "progress")))
 
 
-@query()
+@query(SCORE_SQL.format(names="('logistic_regression')"))
 def score_stream(spark, sf_dir):
-    """The same rows as ``score_batch``, with the histories stored beforehand."""
-    df = stored(spark, sf_dir)
-    trained = TR.fit("logistic_regression", train_and_test(df)[0], _small_lists(df), **QUICK["logistic_regression"])
+    """The same rows as ``score_batch`` gives for the model, with the histories stored beforehand."""
+    return checked_scores(streamed_scores(spark, sf_dir, "logistic_regression"))
+
+
+def streamed_scores(spark, sf_dir, name: str):
+    trained = saved_model(spark, sf_dir, name)
     tables = roles.loan_tables(spark, sf_dir)
     aggregates = HistoryAggregator(tables, scratch_path(spark, "aggregates")).fit(tables["application"]).aggregates
     return run_available(_applications(spark, sf_dir), lambda stream: score(roles.as_role(stream, "application"), trained, aggregates),

@@ -36,20 +36,21 @@ PREVIOUS_NUMERIC = (
     "RATE_INTEREST_PRIMARY", "RATE_INTEREST_PRIVILEGED", "SELLERPLACE_AREA",
 )
 
-DWELLING_MEASURES = (
-    "APARTMENTS", "BASEMENTAREA", "COMMONAREA", "ELEVATORS", "ENTRANCES", "FLOORSMAX",
-    "FLOORSMIN", "LANDAREA", "LIVINGAPARTMENTS", "LIVINGAREA", "NONLIVINGAPARTMENTS",
-    "NONLIVINGAREA", "YEARS_BEGINEXPLUATATION", "YEARS_BUILD",
-)
-
+# Columns of the application table, as published.
 APPLICATION_NUMERIC = (
-    "AMT_ANNUITY", "AMT_CREDIT", "AMT_GOODS_PRICE", "AMT_INCOME_TOTAL", "CNT_CHILDREN",
-    "CNT_FAM_MEMBERS", "DAYS_BIRTH", "DAYS_EMPLOYED", "DAYS_ID_PUBLISH",
-    "DAYS_LAST_PHONE_CHANGE", "DAYS_REGISTRATION", "DEF_30_CNT_SOCIAL_CIRCLE",
-    "DEF_60_CNT_SOCIAL_CIRCLE", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3",
-    "HOUR_APPR_PROCESS_START", "OBS_30_CNT_SOCIAL_CIRCLE", "OBS_60_CNT_SOCIAL_CIRCLE",
-    "OWN_CAR_AGE", "REGION_POPULATION_RELATIVE", "REGION_RATING_CLIENT",
-    "REGION_RATING_CLIENT_W_CITY", "TOTALAREA_MODE",
+    "AMT_ANNUITY", "AMT_CREDIT", "AMT_GOODS_PRICE", "AMT_INCOME_TOTAL", "AMT_REQ_CREDIT_BUREAU_DAY", "AMT_REQ_CREDIT_BUREAU_HOUR",
+    "AMT_REQ_CREDIT_BUREAU_MON", "AMT_REQ_CREDIT_BUREAU_QRT", "AMT_REQ_CREDIT_BUREAU_WEEK", "AMT_REQ_CREDIT_BUREAU_YEAR",
+    "APARTMENTS_AVG", "APARTMENTS_MEDI", "APARTMENTS_MODE", "BASEMENTAREA_AVG", "BASEMENTAREA_MEDI", "BASEMENTAREA_MODE",
+    "CNT_CHILDREN", "CNT_FAM_MEMBERS", "COMMONAREA_AVG", "COMMONAREA_MEDI", "COMMONAREA_MODE", "DAYS_BIRTH", "DAYS_EMPLOYED",
+    "DAYS_ID_PUBLISH", "DAYS_LAST_PHONE_CHANGE", "DAYS_REGISTRATION", "DEF_30_CNT_SOCIAL_CIRCLE", "DEF_60_CNT_SOCIAL_CIRCLE",
+    "ELEVATORS_AVG", "ELEVATORS_MEDI", "ELEVATORS_MODE", "ENTRANCES_AVG", "ENTRANCES_MEDI", "ENTRANCES_MODE", "EXT_SOURCE_1",
+    "EXT_SOURCE_2", "EXT_SOURCE_3", "FLOORSMAX_AVG", "FLOORSMAX_MEDI", "FLOORSMAX_MODE", "FLOORSMIN_AVG", "FLOORSMIN_MEDI",
+    "FLOORSMIN_MODE", "HOUR_APPR_PROCESS_START", "LANDAREA_AVG", "LANDAREA_MEDI", "LANDAREA_MODE", "LIVINGAPARTMENTS_AVG",
+    "LIVINGAPARTMENTS_MEDI", "LIVINGAPARTMENTS_MODE", "LIVINGAREA_AVG", "LIVINGAREA_MEDI", "LIVINGAREA_MODE",
+    "NONLIVINGAPARTMENTS_AVG", "NONLIVINGAPARTMENTS_MEDI", "NONLIVINGAPARTMENTS_MODE", "NONLIVINGAREA_AVG", "NONLIVINGAREA_MEDI",
+    "NONLIVINGAREA_MODE", "OBS_30_CNT_SOCIAL_CIRCLE", "OBS_60_CNT_SOCIAL_CIRCLE", "OWN_CAR_AGE", "REGION_POPULATION_RELATIVE",
+    "REGION_RATING_CLIENT", "REGION_RATING_CLIENT_W_CITY", "TOTALAREA_MODE", "YEARS_BEGINEXPLUATATION_AVG",
+    "YEARS_BEGINEXPLUATATION_MEDI", "YEARS_BEGINEXPLUATATION_MODE", "YEARS_BUILD_AVG", "YEARS_BUILD_MEDI", "YEARS_BUILD_MODE",
 )
 
 DERIVED_NUMERIC = (
@@ -69,19 +70,20 @@ CATEGORICAL_FEATURES = (
     "WEEKDAY_APPR_PROCESS_START", "CREDIT_BURDEN_GROUP",
 )
 
-OTHER_FLAGS = (
-    "FLAG_CONT_MOBILE", "FLAG_EMAIL", "FLAG_EMP_PHONE", "FLAG_MOBIL", "FLAG_PHONE",
-    "FLAG_WORK_PHONE", "LIVE_CITY_NOT_WORK_CITY", "LIVE_REGION_NOT_WORK_REGION",
-    "REG_CITY_NOT_LIVE_CITY", "REG_CITY_NOT_WORK_CITY", "REG_REGION_NOT_LIVE_REGION",
-    "REG_REGION_NOT_WORK_REGION",
+BINARY_FEATURES = (
+    "FLAG_CONT_MOBILE", "FLAG_DOCUMENT_10", "FLAG_DOCUMENT_11", "FLAG_DOCUMENT_12", "FLAG_DOCUMENT_13", "FLAG_DOCUMENT_14",
+    "FLAG_DOCUMENT_15", "FLAG_DOCUMENT_16", "FLAG_DOCUMENT_17", "FLAG_DOCUMENT_18", "FLAG_DOCUMENT_19", "FLAG_DOCUMENT_2",
+    "FLAG_DOCUMENT_20", "FLAG_DOCUMENT_21", "FLAG_DOCUMENT_3", "FLAG_DOCUMENT_4", "FLAG_DOCUMENT_5", "FLAG_DOCUMENT_6",
+    "FLAG_DOCUMENT_7", "FLAG_DOCUMENT_8", "FLAG_DOCUMENT_9", "FLAG_EMAIL", "FLAG_EMP_PHONE", "FLAG_MOBIL", "FLAG_PHONE",
+    "FLAG_WORK_PHONE", "LIVE_CITY_NOT_WORK_CITY", "LIVE_REGION_NOT_WORK_REGION", "PREV_NFLAG_INSURED_ON_APPROVAL_MAX",
+    "PREV_NFLAG_INSURED_ON_APPROVAL_MIN", "PREV_NFLAG_LAST_APPL_IN_DAY_MAX", "PREV_NFLAG_LAST_APPL_IN_DAY_MIN",
+    "REG_CITY_NOT_LIVE_CITY", "REG_CITY_NOT_WORK_CITY", "REG_REGION_NOT_LIVE_REGION", "REG_REGION_NOT_WORK_REGION",
 )
 # --- end of fixed values ----------------------------------------------------
 
 
 def binary_features() -> list[str]:
-    documents = [f"FLAG_DOCUMENT_{n}" for n in range(2, 22)]
-    previous = [f"PREV_{c}_{s}" for c in PREVIOUS_NUMERIC if c.startswith("NFLAG_") for s in ("MAX", "MIN")]
-    return [*OTHER_FLAGS, *documents, *previous]
+    return list(BINARY_FEATURES)
 
 
 def bureau_features() -> list[str]:
@@ -98,12 +100,11 @@ def previous_features() -> list[str]:
 
 
 def numerical_features() -> list[str]:
-    requests = [f"AMT_REQ_CREDIT_BUREAU_{p}" for p in ("HOUR", "DAY", "WEEK", "MON", "QRT", "YEAR")]
-    dwelling = [f"{m}_{v}" for m in DWELLING_MEASURES for v in ("AVG", "MEDI", "MODE")]
-    flags = set(binary_features())
-    names = [*APPLICATION_NUMERIC, *requests, *dwelling, *bureau_features(),
-             *(n for n in previous_features() if n not in flags), *DERIVED_NUMERIC]
-    return list(dict.fromkeys(names))
+    """The published order: columns and four statistics of each history by name, then what was added later by name."""
+    flags = set(BINARY_FEATURES)
+    later = [n for n in bureau_features() if n.endswith(("_STD", "__Q25", "__Q75"))]
+    first = [*APPLICATION_NUMERIC, *(n for n in bureau_features() if n not in set(later)), *previous_features()]
+    return [*sorted(n for n in first if n not in flags), *sorted([*later, *DERIVED_NUMERIC])]
 
 
 def categorical_features() -> list[str]:

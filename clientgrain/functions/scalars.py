@@ -122,11 +122,6 @@ def yes_no_text(value: Column | str) -> Column:
     return F.when(c.isin("Y", "y"), F.lit("1")).when(c.isin("N", "n"), F.lit("0")).otherwise(c)
 
 
-def yes_no_flag(value: Column | str) -> Column:
-    """P14 for a column known to hold flags only."""
-    return yes_no_text(value).try_cast("int")
-
-
 def fill_label(value: Column | str, label: str) -> Column:
     """Constant label in place of null."""
     return F.coalesce(as_column(value), F.lit(label))

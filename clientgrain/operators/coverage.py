@@ -60,15 +60,17 @@ def suggest_kinds(df: DataFrame, columns: Sequence[str] | None = None,
                   numeric_flags: bool = True) -> DataFrame:
     """Numeric, categorical or binary for each column, sorted by name.
 
-    Whether a column is binary takes one pass over the data, for all columns
-    at once; the rest follows from the schema.  By default numeric columns
-    holding only 0 and 1 are binary; with ``numeric_flags=False`` numbers stay
-    numeric and the test applies to text, which passes it only when empty.
+    Every column gets a kind: numbers are numeric, booleans binary, all else
+    (text, dates, timestamps, nested values) categorical.  Whether a column is
+    binary takes one pass over the data, for all columns at once.  By default
+    numeric columns holding only 0 and 1 are binary; with
+    ``numeric_flags=False`` numbers stay numeric and the test applies to the
+    others, which pass it as booleans or when empty.
     """
     columns = [c for c in (columns or df.columns) if c not in control]
     numeric = numeric_columns(df.select(*columns))
-    text = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
-    is_text = F.col("column").isin(text)
-    binary = F.col("is_binary") & (~is_text if numeric_flags else is_text)
-    kind = F.when(binary, "binary").when(is_text, "categorical").otherwise("numeric")
-    return binary_columns(df, [*numeric, *text]).select("column", kind.alias("kind")).orderBy("column")
+    flags = [c for c in columns if isinstance(df.schema[c].dataType, T.BooleanType)]
+    is_number, is_flag = F.col("column").isin(numeric), F.col("column").isin(flags)
+    binary = is_flag | (F.col("is_binary") & (is_number if numeric_flags else ~is_number))
+    kind = F.when(binary, "binary").when(is_number, "numeric").otherwise("categorical")
+    return binary_columns(df, columns).select("column", kind.alias("kind")).orderBy("column")

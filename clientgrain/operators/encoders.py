@@ -81,8 +81,7 @@ class MedianImputer(_ColumnEstimator):
 
 GRID_STEPS = (0.5, 0.04, 0.003)     # one round of candidates each
 GRID_HALF = 6
-GRID_SHIFTS = 12
-POWER_LIMIT = 30.0
+GRID_ROUNDS = 80                    # steps double at the edge, so this reaches any power a double can hold
 
 
 def yeo_johnson(x: Column, power: Column | float) -> Column:
@@ -111,14 +110,15 @@ def _likelihoods(df: DataFrame, grids: dict[str, list[float]], constants: dict[s
     candidates = df.sparkSession.createDataFrame(list(grids.items()), "column string, powers array<double>")
     x = F.col("value")
     rows = melt(df, list(grids)).where(x.isNotNull()).join(F.broadcast(candidates), "column")
-    rows = rows.select("column", "value", F.posexplode("powers").alias("i", "power"))
-    spreads = rows.groupBy("column", "i").agg(F.var_pop(yeo_johnson(x, F.col("power"))).alias("v")).collect()
+    spreads = rows.groupBy("column").agg(F.array(*[
+        F.var_pop(yeo_johnson(x, F.get("powers", F.lit(i)))) for i in range(2 * GRID_HALF + 1)]).alias("v")).collect()
     result = {c: [-math.inf] * len(grid) for c, grid in grids.items()}
     for r in spreads:
-        c, i, v = r["column"], r["i"], r["v"]
+        c = r["column"]
         n, tilt = constants[c]
-        if v is not None and v > 1e-300 and math.isfinite(v):
-            result[c][i] = -n / 2 * math.log(v) + (grids[c][i] - 1) * tilt
+        for i, v in enumerate(r["v"]):
+            if v is not None and v > 1e-300 and math.isfinite(v):
+                result[c][i] = -n / 2 * math.log(v) + (grids[c][i] - 1) * tilt
     return result
 
 
@@ -135,27 +135,33 @@ def _parabola_peak(grid: list[float], scores: list[float], i: int) -> float:
 def fit_powers(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
     """Maximum-likelihood power per column; 1 for a constant column.
 
-    A few aggregations over all columns at once: a coarse grid, then finer ones
-    around the peak so far, each moved along while its best point is on the edge.
+    A few aggregations over all columns at once, without a shuffle of rows: a
+    coarse grid, then finer ones around the peak so far.  While the best point
+    is on the edge the grid moves there and widens, so no power is out of
+    reach.  A column whose likelihood has no peak is an error.
     """
     constants = _constants(df, cols)
     powers = {c: 1.0 for c in cols}
     center = dict.fromkeys(constants, 0.0)
-    rounds = dict.fromkeys(constants, 0)
-    for _ in range(len(GRID_STEPS) + GRID_SHIFTS):
-        grids = {c: [center[c] + i * GRID_STEPS[r] for i in range(-GRID_HALF, GRID_HALF + 1)]
-                 for c, r in rounds.items() if r < len(GRID_STEPS)}
+    step = dict.fromkeys(constants, GRID_STEPS[0])
+    for _ in range(GRID_ROUNDS):
+        grids = {c: [center[c] + i * s for i in range(-GRID_HALF, GRID_HALF + 1)] for c, s in step.items() if s}
         if not grids:
-            break
+            return powers
         for c, scores in _likelihoods(df, grids, constants).items():
             grid = grids[c]
+            if max(scores) == -math.inf:
+                center[c] = 0.0         # beyond what a double can hold: start again, finer
+                step[c] = step[c] / 4
+                continue
             best = max(range(len(grid)), key=scores.__getitem__)
-            if best in (0, len(grid) - 1) and abs(grid[best]) < POWER_LIMIT:
+            if best in (0, len(grid) - 1):
                 powers[c] = center[c] = grid[best]
+                step[c] *= 2
                 continue
             powers[c] = center[c] = _parabola_peak(grid, scores, best)
-            rounds[c] += 1
-    return powers
+            step[c] = next((s for s in GRID_STEPS if s < step[c] * 0.5), 0.0) if step[c] <= GRID_STEPS[0] else step[c] / 4
+    raise ArithmeticError(f"no power maximises the likelihood of {sorted(c for c, s in step.items() if s)}")
 
 
 class PowerTransformModel(_Learned):
@@ -173,8 +179,10 @@ class PowerTransform(_ColumnEstimator):
         cols = self.getInputCols()
         if not cols:
             return PowerTransformModel(inputCols=[], learned={})
-        powers = fit_powers(dataset, cols)
-        bent = dataset.select(*[yeo_johnson(F.col(c).cast("double"), powers[c]).alias(c) for c in cols])
+        # The search scans the columns many times, so they are stored as they are now.
+        known = cut(dataset.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+        powers = fit_powers(known, cols)
+        bent = known.select(*[yeo_johnson(F.col(c).cast("double"), powers[c]).alias(c) for c in cols])
         row = bent.agg(*[e for i, c in enumerate(cols) for e in (F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}"))]).first()
         learned = {c: [powers[c], row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0] for i, c in enumerate(cols)}
         return PowerTransformModel(inputCols=cols, learned=learned)

@@ -15,8 +15,12 @@ from ..functions import stats as ST
 from ..session import broadcast_if_small, cut
 from .quantiles import SKETCH_ACCURACY, exact_quantiles
 
-# Clients with more rows than this have their quartiles found without gathering the values.
-GROUP_ROWS = 200_000
+# Values (rows times columns) that one task gathers for the quartiles of a client;
+# the quartiles of larger clients are found without gathering.  A hash aggregate
+# holds up to 128 clients at a time.
+GROUP_VALUES = 200_000
+# Statuses become columns; more of them are an error, not a table.
+MAX_STATUSES = 200
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -24,23 +28,35 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 
 def known_statuses(df: DataFrame, status: str = "STATUS") -> list[str]:
-    """Status values present, sorted.  One job; pass the list where it is known."""
-    return [r[0] for r in df.select(status).where(F.col(status).isNotNull()).distinct().orderBy(status).collect()]
+    """The published statuses, then whatever else is present, sorted.  One narrow job."""
+    others = [r[0] for r in df.select(status).where(F.col(status).isNotNull() & ~F.col(status).isin(*contract.STATUSES))
+              .distinct().limit(MAX_STATUSES + 1).collect()]
+    if len(others) > MAX_STATUSES:
+        raise ValueError(f"{status} has more than {MAX_STATUSES} values besides the published ones, e.g. {sorted(others)[:5]}")
+    return [*contract.STATUSES, *sorted(others)]
 
 
 def status_shares(df: DataFrame, key: str = contract.CREDIT_ID, status: str = "STATUS",
-                  values: Sequence[str] | None = contract.STATUSES, prefix: str = "BB_STATUS_PCT_",
+                  values: Sequence[str] | None = None, prefix: str = "BB_STATUS_PCT_",
                   length: str = "BB_HISTORY_LENGTH") -> DataFrame:
     """A1 + A2: share of each status among the known ones, and the row count.
 
     One aggregation: every share is a ratio of two counts, so rows combine
-    before the shuffle however many belong to one key.
+    before the shuffle however many belong to one key.  By default every
+    status present gets a column (see :func:`known_statuses`).  A list given
+    as ``values`` must name them all: the aggregation fails on any other, as
+    shares that do not add up would be wrong in silence.
     """
+    given = values is not None
     values = known_statuses(df, status) if values is None else values
     s = F.col(status)
     shares = [ST.share_of(s == F.lit(v), s).alias(f"{prefix}{v}") for v in values]
+    rows = df.where(F.col(key).isNotNull())
+    if given:
+        fault = F.raise_error(F.concat(F.lit(f"{status} has a value without a column: "), s.cast("string")))
+        rows = rows.withColumn(status, F.when(s.isNotNull() & ~s.isin(*values), fault).otherwise(s))
     return (
-        df.where(F.col(key).isNotNull()).groupBy(key)
+        rows.groupBy(key)
         .agg(*shares, F.count(F.lit(1)).alias(length), F.count(s).alias("_known"))
         .where(F.col("_known") > 0).drop("_known")
     )
@@ -61,17 +77,19 @@ def hot_keys(df: DataFrame, key: str, group_rows: int) -> tuple[DataFrame, int]:
 
 def wide_aggregate(df: DataFrame, key: str, id_column: str, stats: Sequence[str], prefix: str, count_name: str,
                    columns: Sequence[str] | None = None, key_rows: DataFrame | None = None,
-                   group_rows: int = GROUP_ROWS, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+                   group_rows: int | None = None, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """A3 / A4 / A5: every numeric column times every statistic, and the child count.
 
     Means, extremes, sums and deviations combine before the shuffle, so a hot
     key is no burden.  Quartiles need the values themselves: where a key has
-    more than ``group_rows`` rows they come from :func:`exact_quantiles`, and
+    more than ``group_rows`` rows (by default as many as make GROUP_VALUES
+    values) they come from :func:`exact_quantiles`, and
     the aggregation sees nulls in their place.  ``key_rows`` may name a
     narrower table with the same rows per key to find such keys in.
     """
     columns = numeric_columns(df, (key, id_column)) if columns is None else list(columns)
     quantiles = [s for s in stats if s in ST.QUANTILE_STATS]
+    group_rows = max(1, GROUP_VALUES // max(1, len(columns))) if group_rows is None else group_rows
     rows = df.where(F.col(key).isNotNull())
 
     hot, n_hot = (hot_keys(key_rows if key_rows is not None else df, key, group_rows) if quantiles else (None, 0))
@@ -112,7 +130,7 @@ def wide_aggregate(df: DataFrame, key: str, id_column: str, stats: Sequence[str]
     ])
 
 
-def bureau_aggregate(bureau: DataFrame, shares: DataFrame | None = None, group_rows: int = GROUP_ROWS,
+def bureau_aggregate(bureau: DataFrame, shares: DataFrame | None = None, group_rows: int | None = None,
                      accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """J1 then A3: external credits per client, seven statistics per column."""
     wide = bureau if shares is None else bureau.join(shares, contract.CREDIT_ID, "left")
@@ -126,8 +144,8 @@ def previous_aggregate(previous: DataFrame) -> DataFrame:
                           "PREV_APPLICATION_COUNT")
 
 
-def aggregate_histories(tables: Mapping[str, DataFrame], statuses: Sequence[str] | None = contract.STATUSES,
-                        group_rows: int = GROUP_ROWS) -> dict[str, DataFrame]:
+def aggregate_histories(tables: Mapping[str, DataFrame], statuses: Sequence[str] | None = None,
+                        group_rows: int | None = None) -> dict[str, DataFrame]:
     """The client-grain tables for whichever history tables are given."""
     shares = status_shares(tables["bureau_balance"], values=statuses) if "bureau_balance" in tables else None
     result = {}
@@ -154,7 +172,7 @@ class HistoryAggregator(Estimator):
     """
 
     def __init__(self, tables: Mapping[str, DataFrame], path: str | None = None,
-                 statuses: Sequence[str] | None = contract.STATUSES):
+                 statuses: Sequence[str] | None = None):
         super().__init__()
         self.tables = dict(tables)
         self.path = path

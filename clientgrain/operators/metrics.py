@@ -31,13 +31,17 @@ def class_counts(df: DataFrame, label: str, prediction: str, by: Sequence[str] =
         F.count_if((y == 0) & (p == 0)).alias("tn"), F.count_if((y == 1) & (p == 0)).alias("fn"))
 
 
-def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Always four rows (actual, predicted, n)."""
+def confusion_matrix(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
+    """Always four rows (by..., actual, predicted, n) for a group."""
+    return _cells(class_counts(df, label, prediction, by), by)
+
+
+def _cells(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     cells = F.array(*[
         F.struct(F.lit(a).alias("actual"), F.lit(p).alias("predicted"), F.col(c).alias("n"))
         for a, p, c in ((0, 0, "tn"), (0, 1, "fp"), (1, 0, "fn"), (1, 1, "tp"))
     ])
-    return class_counts(df, label, prediction).select(F.inline(cells))
+    return counts.select(*by, F.inline(cells))
 
 
 def score_columns() -> dict[str, Column]:
@@ -55,8 +59,12 @@ def class_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str]
     return class_counts(df, label, prediction, by).select(*by, *[e.alias(n) for n, e in score_columns().items()])
 
 
-def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
+def class_report(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
     """Precision, recall, F1 and support per class, then the averages."""
+    return _lines(class_counts(df, label, prediction, by), by)
+
+
+def _lines(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
     total = tp + fp + tn + fn
 
@@ -72,7 +80,7 @@ def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
     lines = F.array(line("0", *zeros, tn + fp), line("1", *ones, tp + fn),
                     line("accuracy", accuracy, accuracy, accuracy, total),
                     line("macro avg", *macro, total), line("weighted avg", *weighted, total))
-    return class_counts(df, label, prediction).select(F.inline(lines))
+    return counts.select(*by, F.inline(lines))
 
 
 def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
@@ -99,11 +107,34 @@ def evaluate(scored: DataFrame, label: str, prediction: str, score: str, by: Seq
     The scored rows are read once: counts per distinct score feed both the
     class metrics and the area under the curve.
     """
+    return metrics_of_counts(score_counts(scored, label, prediction, score, by), by, single_pass_rows)
+
+
+def score_counts(scored: DataFrame, label: str, prediction: str, score: str, by: Sequence[str]) -> DataFrame:
+    """Labels and hits per group and distinct score."""
     y, p = F.col(label), F.col(prediction)
-    per_score = scored.groupBy(*by, F.col(score).cast("double").alias("_score")).agg(
+    return scored.groupBy(*by, F.col(score).cast("double").alias("_score")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"),
         F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
         F.count_if((y == 0) & (p == 0)).alias("tn"), F.count_if((y == 1) & (p == 0)).alias("fn"))
+
+
+def _summed(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    return counts.groupBy(*by).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tp", "fp", "tn", "fn")])
+
+
+def confusion_of_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """A16 from :func:`score_counts`."""
+    return _cells(_summed(counts, by), by)
+
+
+def report_of_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """A19 from :func:`score_counts`."""
+    return _lines(_summed(counts, by), by)
+
+
+def metrics_of_counts(per_score: DataFrame, by: Sequence[str], single_pass_rows: int = SINGLE_PASS_ROWS) -> DataFrame:
+    """A17 and A18 from :func:`score_counts`."""
     ranked = running_totals(per_score, by, ["_score"], ["neg"], single_pass_rows)
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     totals = ranked.groupBy(*by).agg(
@@ -138,5 +169,10 @@ def comparison_table(metrics: DataFrame, cv: DataFrame | None = None, sort_by: s
 
 
 def best_model(comparison: DataFrame, by: str = "test_roc_auc") -> DataFrame:
-    """T3."""
-    return comparison.agg(F.max_by("model", by).alias("model"), F.max(by).alias(by))
+    """On a tie the model whose name comes first."""
+    best = F.min(F.struct((-F.col(by)).alias("order"), F.col("model"))).alias("best")
+    return comparison.where(F.col(by).isNotNull()).agg(best, F.max(by).alias(by)).select(F.col("best.model").alias("model"), by)
+
+
+def comparison_schema() -> str:
+    return ", ".join(["model string", *(f"{c} double" for c in COMPARISON_COLUMNS)])

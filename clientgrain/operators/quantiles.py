@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, cut
+from ..session import broadcast_if_small, cut, null_safe_join
 from .running import SINGLE_PASS_ROWS, running_totals
 
 GROUP_ROWS = 200_000
@@ -74,7 +74,7 @@ def _located(df: DataFrame, brackets: DataFrame, bracket_rows: int, cols: Sequen
     """Exact value per bracket; null where the bracket missed the rank."""
     group = [*by, "column", "prob"]
     values = melt(df, cols, by).where(F.col("value").isNotNull())
-    near = values.join(broadcast_if_small(brackets, bracket_rows), [*by, "column"]).where(F.col("value") <= F.col("high"))
+    near = null_safe_join(values, broadcast_if_small(brackets, bracket_rows), [*by, "column"]).where(F.col("value") <= F.col("high"))
     counted = near.groupBy(*group, "n", F.when(F.col("value") >= F.col("low"), F.col("value")).alias("value")).agg(
         F.count(F.lit(1)).alias("rows"))
     ranked = running_totals(counted, group, ["value"], ["rows"], single_pass_rows)
@@ -95,7 +95,7 @@ def _located(df: DataFrame, brackets: DataFrame, bracket_rows: int, cols: Sequen
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
                     group_rows: int = GROUP_ROWS, accuracy: int = SKETCH_ACCURACY,
                     single_pass_rows: int = SINGLE_PASS_ROWS) -> DataFrame:
-    """(by..., column, prob, n, value), exact for every group.
+    """(by..., column, prob, n, value), exact for every group; a null in ``by`` is a group of its own.
 
     Runs jobs: use it where statistics are learned.  ``by`` is meant for few
     groups (class labels, hot keys); many small groups belong in a plain
@@ -110,8 +110,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     brackets = cut(_brackets(needed, cols, probs, by, accuracy))
     bracket_rows = brackets.count()
     located = cut(_located(needed, brackets, bracket_rows, cols, by, single_pass_rows))
-    missed = brackets.where(F.col("n") > 0).join(
-        located.where(F.col("value").isNotNull()), [*by, "column", "prob"], "left_anti")
+    found = located.where(F.col("value").isNotNull()).select(*by, "column", "prob")
+    missed = null_safe_join(brackets.where(F.col("n") > 0), found, [*by, "column", "prob"], "left_anti")
     if not missed.isEmpty():
         # A sketch outside its error bound; the same search with open brackets is always exact.
         opened = cut(missed.withColumns({"low": F.lit(float("-inf")), "high": F.lit(float("inf"))}))

@@ -21,22 +21,10 @@ from .encoders import (MISSING_LABEL, TREE_MISSING_LABEL, ConstantImputer, Cross
 from .row_features import RowFeatures
 
 FEATURES = "features"
+# Encoder folds are drawn with a seed of their own, so they are no splits of the rows elsewhere.
+ENCODER_SEED = contract.SEED + 1_000
 BELOW_ALL = -3.0e38               # missing numbers sort below the known ones in trees
-MAX_INDEXED_CATEGORIES = 50       # above it a category column is encoded by label means
-
-
-def one_hot_stages(cols: Sequence[str]) -> list:
-    """Constant imputing, then one slot per category; unseen categories give all zeros.
-
-    The vector, and the list of labels on the driver, are as long as the
-    column has categories: for columns with few.
-    """
-    indexed, vectors = [f"{c}_idx" for c in cols], [f"{c}_vec" for c in cols]
-    return [
-        ConstantImputer(inputCols=list(cols), label=MISSING_LABEL),
-        StringIndexer(inputCols=list(cols), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=indexed, outputCols=vectors, dropLast=True),
-    ]
+MAX_ONE_HOT = 10_000              # one-hot labels go through the driver
 
 
 class NumberImputer(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
@@ -73,6 +61,37 @@ class ColumnConformer(Transformer, DefaultParamsReadable, DefaultParamsWritable)
         return dataset.withColumns(absent) if absent else dataset
 
 
+class CategoryLimit(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Refuses columns with more than MAX_ONE_HOT categories; changes nothing."""
+
+    @keyword_only
+    def __init__(self, *, inputCols: Sequence[str] | None = None):
+        super().__init__()
+        self._setDefault(inputCols=[])
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _fit(self, dataset: DataFrame) -> ColumnConformer:
+        many = [c for c in self.getInputCols() if dataset.select(c).distinct().limit(MAX_ONE_HOT + 1).count() > MAX_ONE_HOT]
+        if many:
+            raise ValueError(f"{many} have more than {MAX_ONE_HOT} categories; encode them by label means")
+        return ColumnConformer(fields={})
+
+
+def one_hot_stages(cols: Sequence[str]) -> list:
+    """Constant imputing, then one slot per category; unseen categories give all zeros.
+
+    The vector, and the list of labels on the driver, are as long as the
+    column has categories; their number is checked first.
+    """
+    indexed, vectors = [f"{c}_idx" for c in cols], [f"{c}_vec" for c in cols]
+    return [
+        ConstantImputer(inputCols=list(cols), label=MISSING_LABEL),
+        CategoryLimit(inputCols=list(cols)),
+        StringIndexer(inputCols=list(cols), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
+        OneHotEncoder(inputCols=indexed, outputCols=vectors, dropLast=True),
+    ]
+
+
 @dataclass(frozen=True)
 class FeatureLists:
     """Which columns go where; whatever is not listed is dropped."""
@@ -104,28 +123,30 @@ def _assemble(names: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(names), outputCol=FEATURES, handleInvalid="error")
 
 
-def tree_stages(lists: FeatureLists, label: str, row_id: str, few_categories: Sequence[str]) -> list:
+def tree_stages(lists: FeatureLists, label: str, row_id: str, indexed: Sequence[str] = (),
+                encoder_seed: int = ENCODER_SEED) -> list:
     """No imputing by statistics and no scaling.
 
     Missing numbers go below every known value, missing text becomes a
-    category.  Columns with few categories are indexed, so trees split on sets
-    of categories; the others are replaced by their cross-fitted label means.
+    category.  Category columns are replaced by their cross-fitted label means;
+    those named in ``indexed`` (with few categories: the labels go through the
+    driver) are indexed instead, so that trees split on sets of categories.
     """
-    few = [c for c in lists.categorical if c in set(few_categories)]
-    many = [c for c in lists.categorical if c not in set(few_categories)]
+    few = [c for c in lists.categorical if c in set(indexed)]
+    many = [c for c in lists.categorical if c not in set(indexed)]
     numbers = [*lists.numerical, *lists.binary]
-    indexed = [f"{c}_idx" for c in few]
+    slots = [f"{c}_idx" for c in few]
     stages: list = [TypeCoercer(), NumberImputer(inputCols=numbers, number=BELOW_ALL)]
     if lists.categorical:
         stages.append(ConstantImputer(inputCols=list(lists.categorical), label=TREE_MISSING_LABEL))
     if few:
-        stages.append(StringIndexer(inputCols=few, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"))
+        stages.append(StringIndexer(inputCols=few, outputCols=slots, handleInvalid="keep", stringOrderType="alphabetAsc"))
     if many:
-        stages.append(CrossFitEncoder(inputCols=many, labelCol=label, idCol=row_id))
-    return [*stages, _assemble([*numbers, *indexed, *many])]
+        stages.append(CrossFitEncoder(inputCols=many, labelCol=label, idCol=row_id, seed=encoder_seed))
+    return [*stages, _assemble([*numbers, *slots, *many])]
 
 
-def dense_stages(lists: FeatureLists, label: str, row_id: str) -> list:
+def dense_stages(lists: FeatureLists, label: str, row_id: str, encoder_seed: int = ENCODER_SEED) -> list:
     """Impute, bend and scale numbers, encode categories, fill flags, one vector."""
     stages: list = [TypeCoercer()]
     if lists.numerical:
@@ -136,27 +157,25 @@ def dense_stages(lists: FeatureLists, label: str, row_id: str) -> list:
     if lists.categorical:
         cols = list(lists.categorical)
         stages += [ConstantImputer(inputCols=cols, label=MISSING_LABEL),
-                   CrossFitEncoder(inputCols=cols, labelCol=label, idCol=row_id)]
+                   CrossFitEncoder(inputCols=cols, labelCol=label, idCol=row_id, seed=encoder_seed)]
     return [*stages, _assemble([*lists.numerical, *lists.categorical, *lists.binary])]
 
 
 def preprocessing(model_name: str, train: DataFrame, lists: FeatureLists, label: str = contract.TARGET_COLUMN,
-                  row_id: str = contract.ID_COLUMN, row_features: bool = False) -> list:
+                  row_id: str = contract.ID_COLUMN, row_features: bool = False, indexed: Sequence[str] = (),
+                  encoder_seed: int = ENCODER_SEED) -> list:
     """The unfitted stages for a model.
 
     ``row_features`` adds the derived row features for input that does not
-    come from the feature store (which has them already).
+    come from the feature store (which has them already).  ``indexed`` names
+    the category columns that the tree preparation indexes.
     """
     first: list = [ColumnConformer(fields={c: train.schema[c].dataType.simpleString() for c in lists.all() if c in train.columns})]
     if row_features:
         first.append(RowFeatures())
     if model_name.lower() == "catboost":
-        few: list[str] = []
-        if lists.categorical:
-            counts = train.agg(*[F.approx_count_distinct(c).alias(c) for c in lists.categorical]).first()
-            few = [c for c in lists.categorical if counts[c] <= MAX_INDEXED_CATEGORIES]
-        return first + tree_stages(lists, label, row_id, few)
-    return first + dense_stages(lists, label, row_id)
+        return first + tree_stages(lists, label, row_id, indexed, encoder_seed)
+    return first + dense_stages(lists, label, row_id, encoder_seed)
 
 
 def fit_stages(stages: Sequence, train: DataFrame) -> tuple[PipelineModel, DataFrame]:

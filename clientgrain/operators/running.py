@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, cut
+from ..session import broadcast_if_small, cut, null_safe_join
 
 # Up to this many rows in all, one ordered window is cheaper than two passes.
 SINGLE_PASS_ROWS = 500_000
@@ -30,8 +30,8 @@ def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[str], measu
                    single_pass_rows: int = SINGLE_PASS_ROWS) -> DataFrame:
     """Add ``{measure}_before``: the sum over earlier rows of the same group.
 
-    (by, order) should be unique; ``by`` must not hold nulls, ``order`` may
-    (nulls first).  The input is written to the shared folder once.
+    (by, order) should be unique; a null in ``by`` is a group of its own, one
+    in ``order`` comes first.  The input is written to the shared folder once.
     """
     by = list(by)
     rows = cut(df)
@@ -48,8 +48,8 @@ def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[str], measu
     previous = Window.partitionBy(*by).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = cut(totals.select(*by, _SLICE, *[_before(f"_{m}", previous).alias(f"_{m}_offset") for m in measures]))
     earlier = Window.partitionBy(*by, _SLICE).orderBy(*ordering).rowsBetween(Window.unboundedPreceding, -1)
+    within = slices.repartition(n_slices, *by, _SLICE).withColumns({f"_{m}_in": _before(m, earlier) for m in measures})
     return (
-        slices.repartition(n_slices, *by, _SLICE).withColumns({f"_{m}_in": _before(m, earlier) for m in measures})
-        .join(broadcast_if_small(offsets, offsets.count()), [*by, _SLICE])
+        null_safe_join(within, broadcast_if_small(offsets, offsets.count()), [*by, _SLICE])
         .select(*df.columns, *[(F.col(f"_{m}_in") + F.col(f"_{m}_offset")).alias(f"{m}_before") for m in measures])
     )

@@ -1,9 +1,11 @@
 """Reproducible splits.
 
 Membership is a function of the row id and the seed, so it needs no shuffle
-and survives repartitioning.  Hash thresholds give the asked shares up to
-sampling noise; ``exact=True`` moves the thresholds to the exact order
-statistics of the hash within each class, without ranking a class in one task.
+and survives repartitioning.  The thresholds are exact order statistics of the
+hash within each class, found without ranking a class in one task; every class
+gets the asked share to the row.  ``exact=False`` takes the share of the hash
+range instead: no job, but strata only up to sampling noise.  Rows without a
+label belong to no stratum and are refused.
 """
 
 from __future__ import annotations
@@ -23,7 +25,9 @@ from .quantiles import exact_quantiles
 def _class_thresholds(df: DataFrame, label: str, hashed: Column, ranks: Callable[[int], list[int]],
                       **quantile_options) -> dict[object, list[float]]:
     """Per class, hash values with exactly ``ranks(rows)`` rows at or below them."""
-    sizes = {r[label]: r["n"] for r in df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if None in sizes:
+        raise ValueError(f"{sizes[None]} rows have no {label}, so they cannot be split by it")
     result = {}
     for value, rows in sizes.items():
         wanted = ranks(rows)
@@ -48,7 +52,7 @@ def _per_class(label: str, thresholds: dict[object, list[float]], expression: Ca
 
 
 def stratified_holdout(df: DataFrame, row_id: str = contract.ID_COLUMN, label: str = contract.TARGET_COLUMN,
-                       test_size: float = contract.TEST_SIZE, seed: int = contract.SEED, exact: bool = False,
+                       test_size: float = contract.TEST_SIZE, seed: int = contract.SEED, exact: bool = True,
                        output: str = "is_test", **quantile_options) -> DataFrame:
     """Flag the held-out rows."""
     hashed = row_hash(row_id, seed)
@@ -64,9 +68,9 @@ def train_and_test(df: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
 
 
 def stratified_folds(df: DataFrame, row_id: str = contract.ID_COLUMN, label: str = contract.TARGET_COLUMN,
-                     folds: int = contract.CV_FOLDS, seed: int = contract.SEED, exact: bool = False,
+                     folds: int = contract.CV_FOLDS, seed: int = contract.SEED, exact: bool = True,
                      output: str = "fold", **quantile_options) -> DataFrame:
-    """R2: fold number; with ``exact`` class sizes differ by at most one between folds."""
+    """R2: fold number; class sizes differ by at most one between folds."""
     hashed = row_hash(row_id, seed)
     if not exact:
         return df.withColumn(output, F.pmod(hashed, F.lit(folds)).cast("int"))

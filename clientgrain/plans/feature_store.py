@@ -7,14 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from .. import contract
-from ..operators.history import GROUP_ROWS, aggregate_histories, join_histories
+from ..operators.history import aggregate_histories, join_histories
 from ..operators.row_features import add_row_features
 from ..sources.tables import write_store
 
 
 def build_feature_store(tables: Mapping[str, DataFrame], path: str | None = None,
-                        statuses: Sequence[str] | None = contract.STATUSES,
-                        epsilon: float = contract.STORE_EPSILON, group_rows: int = GROUP_ROWS) -> DataFrame:
+                        statuses: Sequence[str] | None = None,
+                        epsilon: float = contract.STORE_EPSILON, group_rows: int | None = None) -> DataFrame:
     """One row per application: raw columns, row features, history aggregates.
 
     ``tables`` holds ``application`` (or ``main``) and any of the history

@@ -55,4 +55,4 @@ def score(records: DataFrame, trained: Trained, aggregates: Mapping[str, DataFra
     featured = add_row_features(records, epsilon=epsilon)
     if aggregates:
         featured = join_histories(featured, aggregates)
-    return decisions(scored(trained, featured, [row_id]), row_id, trained.name, threshold)
+    return decisions(scored(trained, featured, [row_id], as_probability=True), row_id, trained.name, threshold)

@@ -15,6 +15,7 @@ from .. import contract
 from ..functions.hashing import row_hash
 from ..operators import metrics as MT
 from ..operators.routing import FEATURES
+from ..session import cut
 from .models import spec_for
 from .training import SCORE, Trained
 
@@ -36,28 +37,53 @@ def _with_donors(base: DataFrame, row_id: str, buckets: int, seed: int) -> DataF
     return placed.withColumn("donor", donor).drop("_bucket", "_order")
 
 
+def used_slots(model, n: int) -> list[int]:
+    """Slots the model looks at; permuting any other changes no score."""
+    if hasattr(model, "featureImportances"):
+        weights = model.featureImportances.toArray()
+        return [i for i in range(n) if weights[i] != 0]
+    if hasattr(model, "coefficientMatrix"):
+        weights = abs(model.coefficientMatrix.toArray()).max(axis=0)
+        return [i for i in range(n) if weights[i] != 0]
+    if hasattr(model, "coefficients"):
+        weights = model.coefficients.toArray()
+        return [i for i in range(n) if weights[i] != 0]
+    return list(range(n))
+
+
 def permutation_importance(model, rows: DataFrame, names: Sequence[str], score: Column,
                            label: str = contract.TARGET_COLUMN, row_id: str = contract.ID_COLUMN,
                            repeats: int = REPEATS, seed: int = contract.SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(feature, importance, importance_std): loss of AUC when one feature is permuted.
 
-    ``rows`` holds the assembled vectors of held-out rows.  One job scores all
-    variants: each row is repeated once per feature with that slot taken from
-    its donor, and once unchanged.
+    ``rows`` holds the assembled vectors of held-out rows; they are stored
+    once, and the unchanged rows are scored once.  Each row then comes once per
+    repeat and feature the model uses, with that slot taken from its donor;
+    features it does not use lose exactly nothing.
     """
-    base = rows.select(row_id, F.col(label).cast("int").alias(label), vector_to_array(FEATURES).alias("x"))
-    buckets = max(1, math.ceil(rows.count() / bucket_rows))
-    permuted = reduce(DataFrame.unionByName, [
-        _with_donors(base, row_id, buckets, seed + 2 * r + 2).withColumn("_repeat", F.lit(r)) for r in range(repeats)])
-    variants = permuted.withColumn("_slot", F.explode(F.sequence(F.lit(-1), F.lit(len(names) - 1))))
-    swapped = F.transform("x", lambda v, i: F.when(i == F.col("_slot"), F.get(F.col("donor"), i)).otherwise(v))
-    variants = variants.select("_repeat", "_slot", label, array_to_vector(swapped).alias(FEATURES))
-    auc = MT.roc_auc(model.transform(variants).withColumn(SCORE, score), label, SCORE, ["_repeat", "_slot"])
-    baseline = auc.where(F.col("_slot") == -1).select("_repeat", F.col("roc_auc").alias("_baseline"))
-    drops = auc.where(F.col("_slot") >= 0).join(baseline, "_repeat").withColumn("_drop", F.col("_baseline") - F.col("roc_auc"))
-    by_slot = drops.groupBy("_slot").agg(F.avg("_drop").alias("importance"), F.stddev_pop("_drop").alias("importance_std"))
+    base = cut(rows.select(row_id, F.col(label).cast("int").alias(label), vector_to_array(FEATURES).alias("x")))
+    buckets = max(1, math.ceil(base.count() / bucket_rows))
+    n = len(names)
+    used = used_slots(model, n)
     slots = rows.sparkSession.createDataFrame(list(enumerate(names)), "_slot int, feature string")
-    return slots.join(by_slot, "_slot", "left").select("feature", "importance", "importance_std").orderBy(F.desc("importance"), "feature")
+    if used:
+        unchanged = model.transform(base.select(label, array_to_vector("x").alias(FEATURES))).withColumn(SCORE, score)
+        baseline = MT.roc_auc(unchanged, label, SCORE).first()["roc_auc"]
+        permuted = reduce(DataFrame.unionByName, [
+            _with_donors(base, row_id, buckets, seed + 2 * r + 2).withColumn("_repeat", F.lit(r)) for r in range(repeats)])
+        slot = F.col("_slot")
+        variants = permuted.withColumn("_slot", F.explode(F.array(*[F.lit(i) for i in used])))
+        swapped = F.concat(F.slice("x", F.lit(1), slot), F.array(F.get(F.col("donor"), slot)), F.slice("x", slot + 2, F.lit(n)))
+        variants = variants.select("_repeat", "_slot", label, array_to_vector(swapped).alias(FEATURES))
+        auc = MT.roc_auc(model.transform(variants).withColumn(SCORE, score), label, SCORE, ["_repeat", "_slot"])
+        drops = auc.withColumn("_drop", F.lit(baseline) - F.col("roc_auc"))
+        by_slot = drops.groupBy("_slot").agg(F.avg("_drop").alias("importance"), F.stddev_pop("_drop").alias("importance_std"))
+        slots = slots.join(by_slot, "_slot", "left")
+    else:
+        slots = slots.withColumns({"importance": F.lit(None).cast("double"), "importance_std": F.lit(None).cast("double")})
+    is_used = F.col("_slot").isin(used)
+    return slots.select("feature", *[F.when(is_used, F.col(c)).otherwise(0.0).alias(c) for c in ("importance", "importance_std")]
+                        ).orderBy(F.desc("importance"), "feature")
 
 
 def importance_of(trained: Trained, held_out: DataFrame, label: str = contract.TARGET_COLUMN,

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from .. import contract
 from ..operators import metrics as MT
-from ..operators.routing import FEATURES, FeatureLists, feature_names, fit_stages, preprocessing
+from ..operators.routing import ENCODER_SEED, FEATURES, FeatureLists, feature_names, fit_stages, preprocessing
 from ..operators.splits import stratified_folds, train_and_test
-from ..session import shared_folder
-from .models import model_names, spec_for, with_training_columns
+from ..session import cut, shared_folder
+from .models import VALIDATION, model_names, spec_for, with_training_columns
 
 log = logging.getLogger(__name__)
 
@@ -35,11 +35,13 @@ class Trained:
     metrics: DataFrame | None = None          # (model, split, accuracy, precision, recall, f1, roc_auc)
     confusion: DataFrame | None = None
     report: DataFrame | None = None
+    counts: DataFrame | None = None           # labels and hits per model, split and distinct score
     cv: DataFrame | None = None               # (model, cv_mean, cv_std, cv_scores)
 
 
 def fit(name: str, train: DataFrame, lists: FeatureLists | None = None, label: str = contract.TARGET_COLUMN,
-        row_id: str = contract.ID_COLUMN, row_features: bool = False, **overrides) -> Trained:
+        row_id: str = contract.ID_COLUMN, row_features: bool = False, encoder_seed: int = ENCODER_SEED,
+        **overrides) -> Trained:
     """Preprocessing and classifier, fitted on the training rows only."""
     spec = spec_for(name)
     shared_folder(train.sparkSession)         # boosted trees cut their lineage there
@@ -47,19 +49,25 @@ def fit(name: str, train: DataFrame, lists: FeatureLists | None = None, label: s
     # Derived row features need their raw inputs; otherwise only listed columns are read.
     wanted = set(train.columns if row_features else lists.all()) - {row_id, label}
     needed = train.select(row_id, label, *[c for c in train.columns if c in wanted])
-    stages = preprocessing(name, needed, lists, label, row_id, row_features)
+    stages = preprocessing(name, needed, lists, label, row_id, row_features, encoder_seed=encoder_seed)
     prepared_by, prepared = fit_stages(stages, needed)
     names = feature_names(prepared)
     rows = train.count() if spec.needs_rows else 0
-    classifier = spec.build(rows, label, {**spec.params, **overrides})
-    fitted = classifier.fit(with_training_columns(prepared, spec, label, row_id).drop(*lists.all()))
+    params = {**spec.params, **overrides}
+    ready = with_training_columns(prepared, spec, label, row_id).drop(*lists.all())
+    grown = ready.where(~F.col(VALIDATION)) if spec.validation_share else ready
+    fitted = spec.build(rows, label, params).fit(grown)
+    if spec.finish is not None:
+        fitted = spec.finish(fitted, ready.where(F.col(VALIDATION)) if spec.validation_share else ready, params)
     return Trained(name, PipelineModel([*prepared_by.stages, fitted]), names)
 
 
-def scored(trained: Trained, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """(keep..., prediction, score) for every row."""
+def scored(trained: Trained, df: DataFrame, keep: Sequence[str], as_probability: bool = False) -> DataFrame:
+    """(keep..., prediction, score) for every row; the score orders the rows, or is a probability."""
     out = trained.model.transform(df)
-    return out.select(*keep, F.col(PREDICTION).cast("int").alias(PREDICTION), spec_for(trained.name).score().alias(SCORE))
+    spec = spec_for(trained.name)
+    value = (spec.probability or spec.score)() if as_probability else spec.score()
+    return out.select(*keep, F.col(PREDICTION).cast("int").alias(PREDICTION), value.alias(SCORE))
 
 
 def train(name: str, train_rows: DataFrame, test_rows: DataFrame, lists: FeatureLists | None = None,
@@ -69,9 +77,13 @@ def train(name: str, train_rows: DataFrame, test_rows: DataFrame, lists: Feature
     on_train = scored(trained, train_rows, [label]).withColumn("split", F.lit("train"))
     on_test = scored(trained, test_rows, [label])
     both = on_train.unionByName(on_test.withColumn("split", F.lit("test"))).withColumn("model", F.lit(name))
-    trained.metrics = MT.evaluate(both, label, PREDICTION, SCORE, ["model", "split"])
-    trained.confusion = MT.confusion_matrix(on_test, label, PREDICTION)
-    trained.report = MT.class_report(on_test, label, PREDICTION)
+    # The splits are scored once: everything else is derived from counts per score.
+    counts = cut(MT.score_counts(both, label, PREDICTION, SCORE, ["model", "split"]))
+    trained.counts = counts
+    trained.metrics = MT.metrics_of_counts(counts, ["model", "split"])
+    of_test = counts.where(F.col("split") == "test")
+    trained.confusion = MT.confusion_of_counts(of_test)
+    trained.report = MT.report_of_counts(of_test)
     return trained
 
 
@@ -81,11 +93,13 @@ def cross_validate(name: str, df: DataFrame, lists: FeatureLists | None = None,
     """M8: one row (model, cv_mean, cv_std, cv_scores); everything is refitted in each fold.
 
     Folds are independent jobs, so a few run at a time from driver threads.
+    Each draws the folds of its encoder with a seed of its own.
     """
     flagged = stratified_folds(df, row_id, label, folds, output="_fold")
 
     def one(fold: int) -> float:
-        trained = fit(name, flagged.where(F.col("_fold") != fold).drop("_fold"), lists, label, row_id, **overrides)
+        trained = fit(name, flagged.where(F.col("_fold") != fold).drop("_fold"), lists, label, row_id,
+                      encoder_seed=ENCODER_SEED + 1 + fold, **overrides)
         held = scored(trained, flagged.where(F.col("_fold") == fold).drop("_fold"), [label])
         return MT.roc_auc(held, label, SCORE).first()["roc_auc"]
 
@@ -117,15 +131,15 @@ def train_many(df: DataFrame, names: Sequence[str] | None = None, run_cv: bool =
             done[name] = trained
             outcomes.append((name, "trained", None))
         except Exception as error:  # the other models must still be trained
-            log.error("failed: %s - %s", name, error)
-            outcomes.append((name, "failed", str(error).splitlines()[0][:500]))
+            log.error("failed: %s - %r", name, error)
+            outcomes.append((name, "failed", repr(error)))
     return done, df.sparkSession.createDataFrame(outcomes, "model string, status string, error string")
 
 
 def compare(trained: dict[str, Trained], sort_by: str = "test_roc_auc") -> DataFrame:
-    """T1-T2 over trained models."""
+    """T1-T2 over trained models; no rows if there are none."""
     if not trained:
-        raise ValueError("no trained model to compare")
+        return SparkSession.active().createDataFrame([], MT.comparison_schema())
     parts = [t.metrics for t in trained.values()]
     metrics = parts[0]
     for part in parts[1:]:
@@ -141,7 +155,7 @@ def quick_fit(df: DataFrame, name: str = "lightgbm", lists: FeatureLists | None
               row_id: str = contract.ID_COLUMN, test_size: float = contract.QUICK_TEST_SIZE, **overrides) -> tuple[Trained, DataFrame]:
     """The model and one row (model, train_score, val_score) of accuracies."""
     if label not in df.columns:
-        raise ValueError(f"{label} column missing in feature store")
+        raise ValueError(f"the table to learn from has no label {label!r}")
     train_rows, held = train_and_test(df, row_id=row_id, label=label, test_size=test_size)
     trained = train(name, train_rows, held, lists, label, row_id, **overrides)
     accuracy = trained.metrics.groupBy("model").agg(

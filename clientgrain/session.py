@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,7 +63,8 @@ def build_session(app_name: str = "clientgrain", master: str | None = None,
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it gets a temporary one.
+    Only a local session may go without the setting; it gets a temporary one,
+    which goes when the program ends.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
@@ -68,8 +73,9 @@ def shared_folder(spark: SparkSession) -> str:
         return current
     if not named:
         if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="clientgrain-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     context.setCheckpointDir(named)
     return context.getCheckpointDir()
 
@@ -86,6 +92,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "inner") -> DataFrame:
+    """An equi-join in which null matches null; the key columns come from the left side."""
+    renamed = right.withColumnsRenamed({c: f"__right_{c}" for c in columns})
+    condition = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__right_{c}")) for c in columns])
+    joined = left.join(renamed, condition, how)
+    return joined.drop(*[f"__right_{c}" for c in columns])
+
+
 def text_bytes(df: DataFrame, ignore: Sequence[str] = ()) -> int:
     """Bytes of all text columns; a job over ``df``, which should be small or cut."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and f.name not in ignore]

@@ -112,6 +112,27 @@ def test_powers_maximise_the_likelihood(spark):
             assert best >= log_likelihood(columns[c], power + step) and best >= log_likelihood(columns[c], power - step)
 
 
+def test_powers_far_from_one_are_found(spark):
+    """Values near 2000 with a slight skew: the best power lies beyond 30."""
+    r = np.random.default_rng(4)
+    x = 2000 * (1 + 0.002 * r.normal(0, 1, 4000)) ** (1 / 1.0)
+    x = (x ** 35 + 0 * x) ** (1 / 35)
+    x = np.sort(x) - 30 * r.gamma(2, 0.2, 4000).clip(0, 3)
+    df = spark.createDataFrame([(float(v),) for v in x], "v double")
+    power = E.fit_powers(df, ["v"])["v"]
+    best = log_likelihood(x, power)
+    assert abs(power) > 30
+    for step in (5.0, 0.5, 0.05):
+        assert best >= log_likelihood(x, power + step) - 1e-6 and best >= log_likelihood(x, power - step) - 1e-6
+
+
+def test_too_many_categories_for_one_hot(spark, monkeypatch):
+    monkeypatch.setattr(R, "MAX_ONE_HOT", 3)
+    train = spark.createDataFrame([(f"c{i}",) for i in range(5)], "c string")
+    with pytest.raises(ValueError, match="more than 3 categories"):
+        R.fit_stages(R.one_hot_stages(["c"]), train)
+
+
 def test_one_hot_unseen_is_all_zero(spark):
     train = spark.createDataFrame([("a",), ("b",), (None,)], "c string")
     models, _ = R.fit_stages(R.one_hot_stages(["c"]), train)

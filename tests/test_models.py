@@ -58,7 +58,7 @@ def test_cross_validation(planted):
 
 
 def test_unknown_and_failing_models(planted):
-    with pytest.raises(ValueError, match="Unknown model"):
+    with pytest.raises(ValueError, match="no model is registered as"):
         MO.spec_for("nothing")
     done, status = TR.train_many(planted, ["logistic_regression", "nothing"], lists=LISTS, overrides=SMALL)
     assert {r.model: r.status for r in status.collect()} == {"logistic_regression": "trained", "nothing": "failed"}
@@ -132,9 +132,15 @@ def test_stream_equals_batch(spark, planted, tmp_path):
 
 def test_registered_stream_and_batch_scores_agree(spark, tiny):
     from clientgrain import catalog
+    from clientgrain.operators.history import aggregate_histories
+    from clientgrain.sources import roles
     catalog.load()
-    batch, stream = (catalog.QUERIES[n](spark, tiny).select(ID, "prediction", F.round("probability", 9).alias("p"))
-                     for n in ("score_batch", "score_stream"))
+    from clientgrain.catalog.models import saved_model
+    from clientgrain.catalog.streams import streamed_scores
+    tables = roles.loan_tables(spark, tiny)
+    whole = score(tables["application"], saved_model(spark, tiny, "logistic_regression"), aggregate_histories(tables))
+    batch, stream = (d.select(ID, "prediction", F.round("probability", 9).alias("p"))
+                     for d in (whole, streamed_scores(spark, tiny, "logistic_regression")))
     assert batch.count() == 150 and batch.exceptAll(stream).isEmpty() and stream.exceptAll(batch).isEmpty()
 
 
@@ -148,3 +154,37 @@ def test_request_contract(spark):
     accepted, rejected = check_records(df)
     assert accepted.count() == 1 and set(accepted.columns) == set(schema.names)
     assert sorted(rejected.first()["problems"]) == ["AMT_CREDIT", "CODE_GENDER"]
+
+
+@pytest.mark.parametrize("name", list(MO.MODELS))
+def test_every_model_scores_probabilities(planted, name):
+    trained = TR.fit(name, planted, LISTS, **SMALL[name])
+    low, high = score(planted, trained).agg(F.min("probability"), F.max("probability")).first()
+    assert 0 <= low < high <= 1
+
+
+def test_an_error_without_text_is_recorded(planted, monkeypatch):
+    monkeypatch.setattr(TR, "train", lambda *a, **k: (_ for _ in ()).throw(RuntimeError()))
+    done, status = TR.train_many(planted, ["logistic_regression"], lists=LISTS)
+    assert [tuple(r) for r in status.collect()] == [("logistic_regression", "failed", "RuntimeError()")]
+    table = TR.compare(done)
+    assert table.columns == ["model", *TR.MT.COMPARISON_COLUMNS] and table.count() == 0
+
+
+def test_early_stopping_keeps_the_best_trees(planted):
+    assert MO.best_length([3, 2, 4, 4, 1], 2) == 2 and MO.best_length([3, 2, 4, 4, 1], 4) == 5 and MO.best_length([5], 1) == 1
+    whole = TR.fit("xgboost", planted, LISTS, n_estimators=6, learning_rate=0.1).model
+    classifier, rows = whole.stages[-1], whole.transform(planted).drop("rawPrediction", "probability", "prediction")
+    losses = classifier.evaluateEachIteration(rows)
+    short = MO.first_trees(classifier, 3)
+    assert short.getNumTrees == 3 and short.evaluateEachIteration(rows) == pytest.approx(losses[:3])
+    patient = TR.fit("catboost", planted, LISTS, n_estimators=5, learning_rate=0.3, max_depth=3, patience=1).model.stages[-1]
+    assert 1 <= patient.getNumTrees <= 5
+
+
+def test_features_without_weight_lose_nothing(planted):
+    """A model that never looks at a feature is scored on the others only."""
+    train_rows, test_rows = train_and_test(planted.withColumn("AMT_CREDIT", F.lit(1.0)))
+    trained = TR.fit("random_forest", train_rows, LISTS, **SMALL["random_forest"])
+    table = {r.feature: (r.importance, r.importance_std) for r in SE.importance_of(trained, test_rows, repeats=2).collect()}
+    assert table["AMT_CREDIT"] == (0.0, 0.0) and table["EXT_SOURCE_2"][0] > 0.02

@@ -97,3 +97,46 @@ def test_metrics_without_positives(spark):
     row = MT.class_metrics(df, "y", "p").first()
     assert (row.accuracy, row.precision, row.recall, row.f1) == (1.0, 0.0, 0.0, 0.0)
     assert sorted(tuple(r) for r in MT.confusion_matrix(df, "y", "p").collect()) == [(0, 0, 2), (0, 1, 0), (1, 0, 0), (1, 1, 0)]
+
+
+def test_confusion_and_report_by_group(spark):
+    df = spark.createDataFrame([("a", 1, 1), ("a", 0, 1), (None, 0, 0)], "g string, y int, p int")
+    cells = {(r.g, r.actual, r.predicted): r.n for r in MT.confusion_matrix(df, "y", "p", ["g"]).collect()}
+    assert len(cells) == 8 and cells["a", 1, 1] == cells["a", 0, 1] == cells[None, 0, 0] == 1
+    assert MT.class_report(df, "y", "p", ["g"]).count() == 10
+
+
+def test_ties_between_models_go_by_name(spark):
+    df = spark.createDataFrame([("b", 0.9), ("a", 0.9), ("c", 0.1), ("d", None)], "model string, test_roc_auc double")
+    assert tuple(MT.best_model(df).first()) == ("a", 0.9)
+
+
+@pytest.mark.parametrize("options", [{}, {"single_pass_rows": 5}])
+def test_a_null_group_is_a_group(spark, options):
+    rows = [(None if i % 3 else "a", i % 2, float(i * 7 % 11)) for i in range(60)]
+    df = spark.createDataFrame(rows, "g string, y int, s double")
+    got = {r.g: r.roc_auc for r in MT.roc_auc(df, "y", "s", ["g"], **options).collect()}
+    for g in ("a", None):
+        pos, neg = ([s for k, y, s in rows if k == g and y == label] for label in (1, 0))
+        assert got[g] == pytest.approx(np.mean([(p > n) + 0.5 * (p == n) for p in pos for n in neg]))
+    got = {(r.g, r.prob): r.value for r in exact_quantiles(df, ["s"], [0.25, 0.5], ["g"], **options).collect()}
+    for g in ("a", None):
+        assert [got[g, p] for p in (0.25, 0.5)] == pytest.approx(np.quantile([s for k, _, s in rows if k == g], [0.25, 0.5]))
+
+
+def test_hot_unseen_value_is_spread(spark):
+    """A value that is frequent in the rows at hand and unknown to the table fills no partition of its own."""
+    facts = spark.createDataFrame([("new",)] * 4000 + [(f"k{i}",) for i in range(300)], "c string").selectExpr("c", "monotonically_increasing_id() AS i")
+    table = spark.createDataFrame([(f"k{i}", float(i), 1) for i in range(300)], "category string, mean double, n long")
+    long_key = spark.createDataFrame([("x" * 50_000, 7.0, 10_000)], table.schema)
+    facts = facts.unionByName(spark.createDataFrame([("x" * 50_000, -1)], "c string, i long"))
+    out = attach(facts, {"category": F.col("c")}, table.unionByName(long_key), "mean", "m", rows=301, text=2_000, limit=100)
+    got = {r.i: r.m for r in out.where("c != 'new'").collect()}
+    assert out.where("c = 'new'").count() == 4000 and out.where("c = 'new' AND m IS NOT NULL").isEmpty()
+    assert len(got) == 301 and got[-1] == 7.0 and None not in got.values()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(sizes) < 3000

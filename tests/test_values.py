@@ -58,11 +58,11 @@ def test_coercer_keeps_text_and_reads_flags(spark):
     df = spark.createDataFrame([("Y", "a", 1.0), ("n", "Y", 2.0), (None, "N", None)], "flag string, mixed string, v double")
     model = TypeCoercer().fit(df)
     out = model.transform(df)
-    assert dict(out.dtypes) == {"flag": "int", "mixed": "string", "v": "double"}
-    assert {tuple(r) for r in out.collect()} == {(1, "a", 1.0), (0, "1", 2.0), (None, "0", None)}
+    assert dict(out.dtypes) == {"flag": "string", "mixed": "string", "v": "double"}
+    assert {tuple(r) for r in out.collect()} == {("1", "a", 1.0), ("0", "1", 2.0), (None, "0", None)}
     # A column that was a number at fit is parsed when it comes as text.
-    late = spark.createDataFrame([("Y", "a", "7"), ("N", "b", "oops")], "flag string, mixed string, v string")
-    assert {tuple(r) for r in model.transform(late).collect()} == {(1, "a", 7.0), (0, "b", None)}
+    late = spark.createDataFrame([("Y", "a", "7"), ("XNA", "b", "oops")], "flag string, mixed string, v string")
+    assert {tuple(r) for r in model.transform(late).collect()} == {("1", "a", 7.0), ("XNA", "b", None)}
 
 
 def test_nan_becomes_null(spark):
@@ -77,8 +77,8 @@ def test_shares(spark):
     assert set(out) == {1, 3}
     assert (out[1]["BB_STATUS_PCT_0"], out[1]["BB_STATUS_PCT_C"], out[1]["BB_STATUS_PCT_X"], out[1]["BB_HISTORY_LENGTH"]) == (.5, .5, 0, 3)
     assert (out[3]["BB_STATUS_PCT_0"], out[3]["BB_STATUS_PCT_X"], out[3]["BB_HISTORY_LENGTH"]) == (0, 1, 1)
-    seen = H.status_shares(df, values=None)
-    assert seen.columns == ["SK_ID_BUREAU", "BB_STATUS_PCT_0", "BB_STATUS_PCT_C", "BB_STATUS_PCT_X", "BB_HISTORY_LENGTH"]
+    given = H.status_shares(df, values=["0", "C", "X"])
+    assert given.columns == ["SK_ID_BUREAU", "BB_STATUS_PCT_0", "BB_STATUS_PCT_C", "BB_STATUS_PCT_X", "BB_HISTORY_LENGTH"]
 
 
 def test_group_statistics(spark):
@@ -150,3 +150,29 @@ def test_aggregator_model_reads_back(spark, tiny, tmp_path):
     first, second = (m.transform(tables["application"]) for m in (model, loaded))
     assert first.columns == second.columns
     assert first.exceptAll(second).isEmpty() and second.exceptAll(first).isEmpty()
+
+
+def test_statuses_beyond_the_list(spark):
+    rows = [(1, "6"), (1, "6"), (1, "0"), (2, "C"), (3, None)]
+    df = spark.createDataFrame(rows, "SK_ID_BUREAU long, STATUS string")
+    out = {r.SK_ID_BUREAU: r for r in H.status_shares(df).collect()}
+    assert out[1]["BB_STATUS_PCT_6"] == pytest.approx(2 / 3) and out[1]["BB_STATUS_PCT_0"] == pytest.approx(1 / 3)
+    assert out[2]["BB_STATUS_PCT_6"] == 0 and set(out) == {1, 2}
+    with pytest.raises(Exception, match="STATUS has a value without a column: 6"):
+        H.status_shares(df, values=contract.STATUSES).collect()
+
+
+def test_every_column_gets_a_kind(spark):
+    import datetime
+    from clientgrain.operators.coverage import suggest_kinds
+    rows = [(True, datetime.date(2020, 1, 1), datetime.datetime(2020, 1, 1), 1, 2.5, "x", [1], b"y", None)]
+    df = spark.createDataFrame(rows, "b boolean, d date, t timestamp, i int, v double, s string, a array<int>, y binary, e string")
+    for flags, want in ((True, "binary"), (False, "numeric")):
+        got = {r["column"]: r.kind for r in suggest_kinds(df, numeric_flags=flags).collect()}
+        assert got == {"b": "binary", "i": want, "v": "numeric", **dict.fromkeys("dtsay", "categorical"), "e": "categorical" if flags else "binary"}
+
+
+def test_published_order():
+    names = contract.numerical_features()
+    assert names[:3] == ["AMT_ANNUITY", "AMT_CREDIT", "AMT_GOODS_PRICE"] and names[229:231] == ["YEARS_BUILD_MODE", "AGE_GROUP"]
+    assert names[4:6] == ["AMT_REQ_CREDIT_BUREAU_DAY", "AMT_REQ_CREDIT_BUREAU_HOUR"] and names[-1] == "REGISTRATION_YEARS"
