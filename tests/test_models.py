@@ -174,7 +174,8 @@ def test_an_error_without_text_is_recorded(planted, monkeypatch):
 def test_early_stopping_keeps_the_best_trees(planted):
     assert MO.best_length([3, 2, 4, 4, 1], 2) == 2 and MO.best_length([3, 2, 4, 4, 1], 4) == 5 and MO.best_length([5], 1) == 1
     whole = TR.fit("xgboost", planted, LISTS, n_estimators=6, learning_rate=0.1).model
-    classifier, rows = whole.stages[-1], whole.transform(planted).drop("rawPrediction", "probability", "prediction")
+    classifier = whole.stages[-1]
+    rows = MO.with_training_columns(whole.transform(planted).drop("rawPrediction", "probability", "prediction"), MO.MODELS["xgboost"], Y, ID)
     losses = classifier.evaluateEachIteration(rows)
     short = MO.first_trees(classifier, 3)
     assert short.getNumTrees == 3 and short.evaluateEachIteration(rows) == pytest.approx(losses[:3])
