@@ -91,7 +91,8 @@ def thresholds(sizes: DataFrame, targets: DataFrame) -> DataFrame:
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long").alias("repeats"))
         .withColumn("rest", F.col("target") - F.col("repeats") * F.col("source_size")))
     # The documents that may lie on the boundary, and the words that come before them.
-    inside = sizes.join(plan, F.col("source").eqNullSafe(F.col("key"))).where("rest > 0 AND size > 0").select(
+    few = broadcast_if_small(plan, plan.count())
+    inside = sizes.join(few, F.col("source").eqNullSafe(F.col("key"))).where("rest > 0 AND size > 0").select(
         "source", "size", "hash", "rest", F.lit(0).cast("long").alias("before"))
     for done in range(STEP_BITS, HASH_BITS + 1, STEP_BITS):
         cells = (inside.groupBy("source", "rest", "before", F.shiftright("hash", HASH_BITS - done).alias("cell"))
@@ -104,13 +105,13 @@ def thresholds(sizes: DataFrame, targets: DataFrame) -> DataFrame:
         if done == HASH_BITS or edge.where("least < most").isEmpty():
             break
         inside = cut(inside.drop("rest", "before").join(
-            edge, F.col("source").eqNullSafe(F.col("key")) & (F.shiftright("hash", HASH_BITS - done) == F.col("edge")))
+            broadcast_if_small(edge, edge.count()), F.col("source").eqNullSafe(F.col("key")) & (F.shiftright("hash", HASH_BITS - done) == F.col("edge")))
             .select("source", "size", "hash", "rest", "before"))
     # The hash on the boundary goes in if that brings the source nearer to its target.
     nearer = F.col("before") + F.col("words") - F.col("rest") < F.col("rest") - F.col("before")
     edge = edge.select(F.col("key").alias("source"), F.when(nearer, F.col("most")).otherwise(F.col("least") - 1).alias("upto"))
-    return (plan.join(edge.withColumnRenamed("source", "at"), F.col("key").eqNullSafe(F.col("at")), "left")
-            .select(F.col("key").alias("source"), "source_size", "target", "repeats", F.coalesce("upto", F.lit(-1)).alias("upto")))
+    return cut(plan.join(edge.withColumnRenamed("source", "at"), F.col("key").eqNullSafe(F.col("at")), "left")
+               .select(F.col("key").alias("source"), "source_size", "target", "repeats", F.coalesce("upto", F.lit(-1)).alias("upto")))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
@@ -124,7 +125,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     sizes = cut(sized(docs, id_col, text, source))
     limits = thresholds(sizes, with_targets(weighted_sources(sizes, weights), share, most)).withColumnRenamed("source", "key")
     copies = F.when(F.col("size") > 0, F.col("repeats") + (F.col("hash") <= F.col("upto")).cast("long")).otherwise(0)
-    return (sizes.join(limits, F.col("source").eqNullSafe(F.col("key")))
+    return (sizes.join(broadcast_if_small(limits, limits.count()), F.col("source").eqNullSafe(F.col("key")))
             .select("doc_id", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken")))
 
 
@@ -132,7 +133,7 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sour
                weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST_REPEATS) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, unchanged; texts without words go."""
     sizes = cut(sized(docs, id_col, text, source))
-    limits = cut(thresholds(sizes, with_targets(weighted_sources(sizes, weights), share, most)).select("source", "repeats", "upto"))
+    limits = (thresholds(sizes, with_targets(weighted_sources(sizes, weights), share, most)).select("source", "repeats", "upto"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(source).alias("own"),
                        doc_hash(F.col(id_col)).alias("hash"), F.col(text).cast("string").rlike(r"[^\x20\x09-\x0D]").alias("worded"))
     taken = (rows.where("worded").join(broadcast_if_small(limits, limits.count()), F.col("own").eqNullSafe(F.col("source")))

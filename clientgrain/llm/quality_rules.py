@@ -162,13 +162,12 @@ def thresholds(sketch: DataFrame) -> DataFrame:
         .otherwise(F.lit(rest[n] if rest else None)).alias(n) for n in names])
 
 
-def judge(measured: DataFrame, lang: str = "lang", source: str = "source", limits: DataFrame | None = None) -> DataFrame:
-    """``measured`` with ``base_failed`` and ``kept``.
+def judge(measured: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
+    """``measured`` with ``base_failed`` and ``kept``, by the ``thresholds``.
 
     A null language or source is a group of its own.  A group in which every
     text fails the base rules has no fences and needs none.
     """
-    limits = thresholds(sketches(measured, lang, source)) if limits is None else limits
     limits = limits.withColumnsRenamed({"lang": "__lang", "source": "__source"})
     inside = F.lit(True)
     for i, (m, value) in enumerate(zip(MEASURES, values().values())):
@@ -191,7 +190,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text: str = "text", l
     """
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(lang).alias("lang"), F.col(source).alias("source"), F.col(text).alias("text"))
     measured = cut(measure(slim, ["doc_id", "lang", "source"]))
-    return judge(measured).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    limits = cut(thresholds(sketches(measured, "lang", "source")))
+    return judge(measured, broadcast_if_small(limits, limits.count())).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def kept_rows(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -199,5 +199,5 @@ def kept_rows(docs: DataFrame, text: str = "text", lang: str = "lang", source: s
     keys = [F.col(lang).alias("lang"), F.col(source).alias("source"), F.col(text).alias("text")]
     limits = cut(thresholds(sketches(cut(measure(docs.select(*keys), ["lang", "source"])), "lang", "source")))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *keys)
-    judged = judge(measure(rows, ["row", "lang", "source"]), limits=broadcast_if_small(limits, limits.count()))
+    judged = judge(measure(rows, ["row", "lang", "source"]), broadcast_if_small(limits, limits.count()))
     return judged.where("kept").select("row.*")
