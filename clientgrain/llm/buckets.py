@@ -32,7 +32,7 @@ SLACK = 5.0
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 _known_words: dict[bytes, int] = {}
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 
 
 def word_hashes(words: Sequence[bytes]) -> np.ndarray:
