@@ -22,6 +22,7 @@ from pyspark.sql.window import Window
 from ..session import cut
 from . import buckets
 from .buckets import MIX, SHINGLE_WORDS, THRESHOLD, Sketcher, components, linked_sets, word_hashes
+from .passage_spans import stored, without_passages
 from .texts import free_name, map_texts
 
 MIN_WORDS = 50
@@ -157,7 +158,8 @@ def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, size: int
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated paragraphs cut out of ``text`` and ``n_chars`` adjusted.
+    """``docs`` with the repeated paragraphs, and then the repeated passages inside what is left
+    (``passage_spans``), cut out of ``text`` and ``n_chars`` adjusted.
 
     Documents of which no word is left go; so do those that had none.  Rows
     without an id keep their text.
@@ -166,7 +168,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     gone = repeated_paragraphs(docs).groupBy("doc_id").agg(F.collect_set("paragraph").alias(drop)).withColumnRenamed("doc_id", key)
     lines = F.split("text", "\n", -1)
     kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(drop, i)), "\n")
-    cleaned = docs.join(gone, F.col("doc_id") == F.col(key), "left").withColumn("text", F.when(F.col(drop).isNull(), F.col("text")).otherwise(kept))
+    whole = docs.join(gone, F.col("doc_id") == F.col(key), "left").withColumn("text", F.when(F.col(drop).isNull(), F.col("text")).otherwise(kept))
+    cleaned = without_passages(stored(whole.select(*[F.col(f"`{c}`") for c in docs.columns])))
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cleaned.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return cleaned.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))

@@ -1,0 +1,181 @@
+"""Passages of equal words that stand in different surroundings, found word by word.
+
+A passage is any run of at least ``MIN_WORDS`` words, wherever lines begin or
+end.  Every window of ``MIN_WORDS`` words has one anchor, the lowest hash among
+its runs of ``ANCHOR_WORDS`` words; it depends on the window's words only, so
+equal windows have equal anchors.  Neighbouring windows with one anchor form a
+segment; a text has a few for a hundred words.  Segments that recur as wholes
+are repeats as wholes.  Where an anchor has different segments, one of each is
+compared window by window.  Nothing is sampled and no pairs are made, so all
+repeated windows are found.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..session import broadcast_if_small, cut, scratch_path
+from .buckets import MIX, word_hashes
+from .texts import WORD, free_name, small_batches
+
+MIN_WORDS = 50
+ANCHOR_WORDS = 8
+ONE_WORD = re.compile(WORD)
+
+
+def sliding(of: Callable, values: np.ndarray, width: int) -> np.ndarray:
+    """``of`` (minimum or maximum) over each run of ``width`` values."""
+    out, span = values, 1
+    while span * 2 <= width:
+        out = of(out[:-span], out[span:])
+        span *= 2
+    n = len(values) - width + 1
+    return of(out[:n], out[width - span:width - span + n])
+
+
+def mixed(parts: list[np.ndarray], start: int) -> np.ndarray:
+    run = np.full(len(parts[0]), start, dtype=np.uint64)
+    for part in parts:
+        run = (run ^ part) * MIX
+        run ^= run >> np.uint64(29)
+    return run
+
+
+class Windows:
+    """All windows of a text of at least ``size`` words: ``grams`` and, for each window, its anchor."""
+
+    def __init__(self, words: list[bytes], size: int) -> None:
+        h = word_hashes(words)
+        self.size, self.gram = size, min(ANCHOR_WORDS, size)
+        n = len(h) - self.gram + 1
+        self.grams = mixed([h[i:i + n] for i in range(self.gram)], self.gram)
+        self.reach = size - self.gram + 1
+        self.anchors = sliding(np.minimum, self.grams, self.reach)
+
+    def hashes(self) -> np.ndarray:
+        n, last = len(self.anchors), self.size - self.gram
+        return mixed([self.grams[i:i + n] for i in [*range(0, last, self.gram), last]], self.size)
+
+    def segments(self) -> tuple[np.ndarray, np.ndarray]:
+        """First window and number of windows of each segment."""
+        first = np.concatenate([[0], np.nonzero(self.anchors[1:] != self.anchors[:-1])[0] + 1])
+        return first, np.diff(np.concatenate([first, [len(self.anchors)]]))
+
+
+def digests(hashes: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A hash of the windows of each segment in their order."""
+    place = (np.arange(len(hashes)) - np.repeat(first, n)).astype(np.uint64)
+    return mixed([np.add.reduceat(mixed([hashes, place], 1), first), n.astype(np.uint64)], 2)
+
+
+def spots_of(body: str) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The words of a text and where each starts and ends."""
+    spots = [m.span() for m in ONE_WORD.finditer(body)]
+    start, end = np.array(spots, dtype=np.int64).reshape(-1, 2).T
+    return [body[a:b].encode("utf-8", "surrogatepass") for a, b in spots], start, end
+
+
+def read(docs: DataFrame, columns: str, of_text: Callable[..., list[np.ndarray] | None]) -> DataFrame:
+    """(doc_id, text_key, *columns): the rows that ``of_text`` makes of each text and the column beside it."""
+    names = [c.split()[0] for c in columns.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made, rows = [], []
+            for row, given in enumerate(zip(*[batch.column(i).to_pylist() for i in range(2, batch.num_columns)])):
+                found = of_text(*given)
+                if found is not None:
+                    made.append(found)
+                    rows.append(np.full(len(found[0]), row))
+            if made:
+                own = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), *[pa.array(np.concatenate(c)) for c in zip(*made)]],
+                                                 names=["doc_id", "text_key", *names])
+
+    small_batches(docs.sparkSession)
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, {columns}")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again: a third of what a checkpoint takes."""
+    path = scratch_path(df.sparkSession, "passages")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each stretch of text to remove: doc_id, text_key (xxhash64 of the text), start and
+    end (code points), n_words, first_doc_id (a document that has what the stretch begins with, at an earlier place).
+
+    A window of ``min_words`` words stays where it stands first by (doc_id,
+    text_key, place); its other occurrences are removed, but not one that overlaps the
+    first in the same text.  A stretch is what touching windows cover together.  Repeated
+    input rows count as one document.  Rows with a null id or text have nothing
+    to remove.  Other columns are ignored.  An empty table gives an empty result.
+    """
+    slim = (docs.select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text"))
+            .where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("text_key", F.xxhash64("text")))
+
+    def segments(body: str) -> list[np.ndarray] | None:
+        words, start, end = spots_of(body)
+        if len(words) < min_words:
+            return None
+        own = Windows(words, min_words)
+        first, n = own.segments()
+        return [own.anchors[first].view(np.int64), digests(own.hashes(), first, n).view(np.int64),
+                *[c.astype(np.int32) for c in (first, n, start[first], end[first + n + min_words - 2])]]
+
+    place = F.struct("doc_id", "text_key", "at")
+    found = stored(read(slim.select("doc_id", "text_key", "text"), "anchor long, segment long, at int, n int, start int, end int", segments))
+    kinds = stored(found.groupBy("segment").agg(F.first("anchor").alias("anchor"), F.first("n").alias("n"), F.min(place).alias("first"), F.count("*").alias("times")))
+    same = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    # A segment that overlaps its first in one text, or is so long that it can repeat itself, is looked at window by window, too.
+    again = stored(found.drop("anchor").join(kinds.where("times > 1").drop("times", "n"), "segment").where(place != F.col("first"))
+                .select("doc_id", "text_key", "anchor", "at", "n", "start", "end", F.col("first.doc_id").alias("first_doc_id"),
+                        (same & (F.col("at") < F.col("first.at") + min_words)).alias("overlaps")))
+    several = (kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor")
+               .unionByName(again.where("overlaps").select("anchor")).unionByName(kinds.where(F.col("n") > min_words).select("anchor")).distinct())
+    singly = kinds.join(several, "anchor").select("first.*").unionByName(again.where("overlaps").select("doc_id", "text_key", "at"))
+    singly = cut(singly.groupBy("doc_id", "text_key").agg(F.collect_set("at").alias("firsts")))
+
+    def windows(body: str, firsts: list[int]) -> list[np.ndarray]:
+        words, start, end = spots_of(body)
+        own = Windows(words, min_words)
+        first, n = own.segments()
+        at = np.nonzero(np.repeat(np.isin(first, firsts), n))[0]
+        return [own.hashes().view(np.int64)[at], *[c.astype(np.int32) for c in (at, start[at], end[at + min_words - 1])]]
+
+    texts = slim.join(broadcast_if_small(singly, singly.count()), ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "firsts")
+    single = stored(read(texts, "h long, at int, start int, end int", windows))
+    firsts = (single.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+              .where("first != last").select("h", "first"))
+    single = single.join(firsts, "h").where((place != F.col("first")) & (~same | (F.col("at") >= F.col("first.at") + min_words)))
+    every = (again.where("NOT overlaps").select("doc_id", "text_key", "at", "n", "start", "end", "first_doc_id")
+             .unionByName(single.select("doc_id", "text_key", "at", F.lit(1).alias("n"), "start", "end", F.col("first.doc_id").alias("first_doc_id")))
+             .repartition("doc_id", "text_key").dropDuplicates(["doc_id", "text_key", "at"]).withColumn("last", F.col("at") + F.col("n") - 1))
+    by_text = Window.partitionBy("doc_id", "text_key").orderBy("at")
+    begins = F.coalesce(F.col("at") > F.lag("last").over(by_text) + min_words, F.lit(True))
+    return (every.withColumn("stretch", F.sum(begins.cast("int")).over(by_text)).groupBy("doc_id", "text_key", "stretch")
+            .agg(F.min("start").cast("long").alias("start"), F.max("end").cast("long").alias("end"), (F.max("last") - F.min("at") + min_words).cast("int").alias("n_words"),
+                 F.min_by("first_doc_id", "at").alias("first_doc_id")).drop("stretch"))
+
+
+def without_passages(docs: DataFrame) -> DataFrame:
+    """``docs`` with the repeated passages cut out of ``text``.  Rows without an id keep their text."""
+    spans, key, of = (free_name(docs, n) for n in ("spans", "key", "of"))
+    gone = cut(repeated_passages(docs).groupBy(F.col("doc_id").alias(key), F.col("text_key").alias(of))
+               .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(spans)))
+    joined = docs.join(broadcast_if_small(gone, gone.count()), (F.col("doc_id") == F.col(key)) & (F.xxhash64("text") == F.col(of)), "left")
+    # What stands before each stretch, then what stands behind the last.
+    before = F.transform(spans, lambda s, i: F.substring(F.col("text"), F.when(i == 0, 0).otherwise(F.col(spans)[i - 1]["end"]).cast("int") + 1,
+                                                         (s["start"] - F.when(i == 0, 0).otherwise(F.col(spans)[i - 1]["end"])).cast("int")))
+    behind = F.substring(F.col("text"), F.element_at(spans, -1)["end"].cast("int") + 1, F.length("text"))
+    kept = F.concat(F.array_join(before, ""), behind)
+    return joined.withColumn("text", F.when(F.col(spans).isNull(), F.col("text")).otherwise(kept)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import (html_text, license_scan, mixing, ngram_join, oracles, packing, passage_dedup, quality_model, quality_rules,
-               token_files, vector_dedup)
+from . import (html_text, license_scan, mixing, ngram_join, oracles, packing, passage_dedup, passage_spans,
+               quality_model, quality_rules, token_files, vector_dedup)
 from .texts import table
 from .tokens import tokenizer_path
 
@@ -62,6 +62,11 @@ def op7_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_passage_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_spans.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "records")

@@ -1,0 +1,93 @@
+from collections import defaultdict
+
+import numpy as np
+from llm.helpers import DOCUMENTS, WORD, awkward, awkward_rows, none
+
+from clientgrain.llm import passage_dedup, passage_spans
+
+SIZE = passage_spans.MIN_WORDS
+
+
+def brute(rows):
+    """(doc_id, start, end, n_words) by a table of all windows."""
+    texts = sorted({(d, t) for d, t in rows if d is not None and t})
+    spots = [[m.span() for m in WORD.finditer(t)] for _, t in texts]
+    seen = defaultdict(list)
+    for k, (_, t) in enumerate(texts):
+        words = [t[a:b] for a, b in spots[k]]
+        for s in range(len(words) - SIZE + 1):
+            seen[tuple(words[s:s + SIZE])].append((k, s))
+    covered = defaultdict(set)
+    for places in seen.values():
+        first = min(places)
+        for k, s in places:
+            if k != first[0] or s >= first[1] + SIZE:
+                covered[k] |= set(range(s, s + SIZE))
+    out = set()
+    for k, own in covered.items():
+        for w in own:
+            if w - 1 not in own:
+                last = w
+                while last + 1 in own:
+                    last += 1
+                out.add((texts[k][0], spots[k][w][0], spots[k][last][1], last - w + 1))
+    return out
+
+
+def result(docs):
+    rows = [(r.doc_id, r.start, r.end, r.n_words) for r in passage_spans.repeated_passages(docs).collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def test_empty(spark):
+    assert passage_spans.repeated_passages(none(spark)).collect() == []
+
+
+def test_awkward_rows(spark):
+    assert result(awkward(spark)) == brute([(r[0], r[1]) for r in awkward_rows()])
+
+
+def test_same_as_all_windows(spark, tiny):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    want = brute([(r.doc_id, r.text) for r in docs.collect()])
+    assert want and result(docs) == want
+
+
+def test_periodic_text_and_repeats_in_one_document(spark):
+    passage = " ".join(f"r{i}" for i in range(55))
+    rows = [(1, "a " * 79, "en", "a", 1), (2, "b " * 130, "en", "a", 1), (3, f"{passage} between {passage}　😀", "en", "a", 1)]
+    assert result(spark.createDataFrame(rows, DOCUMENTS)) == brute([(r[0], r[1]) for r in rows])
+
+
+def test_passage_inside_lines_of_different_text_is_cut(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    other = [" ".join(f"x{d}y{i}" for i in range(90)) for d in range(6)]
+    rows = [(d, f"start of {d}\n😀 {other[2 * d]} {passage} {other[2 * d + 1]}\nend of {d}", "en", "a", 1) for d in range(3)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    assert passage_dedup.repeated_paragraphs(docs).collect() == []
+    out = {r.doc_id: r for r in passage_dedup.without_repeats(docs).collect()}
+    assert out[0].text == rows[0][1]
+    for d in (1, 2):
+        assert out[d].text == rows[d][1].replace(passage, "") and out[d].n_chars == len(out[d].text)
+    spans = {r.doc_id: r for r in passage_spans.repeated_passages(docs).collect()}
+    assert set(spans) == {1, 2} and all(rows[d][1][s.start:s.end] == passage and s.first_doc_id == 0 for d, s in spans.items())
+
+
+def test_anchors_are_the_lowest_of_their_window():
+    rng = np.random.default_rng(3)
+    for n in (50, 51, 93, 400):
+        own = passage_spans.Windows([b"%d" % v for v in rng.integers(0, 30, n)], 50)
+        plain = [own.grams[s:s + 43].min() for s in range(n - 49)]
+        assert own.anchors.tolist() == plain
+        first, count = own.segments()
+        assert count.sum() == n - 49 and all(len(set(plain[a:a + c])) == 1 for a, c in zip(first, count))
+
+
+def test_overlapping_and_partly_equal_passages(spark):
+    """Few different words, so that texts repeat themselves and each other at every offset."""
+    rng = np.random.default_rng(4)
+    block = [" ".join(f"v{v}" for v in rng.integers(0, 4, n)) for n in (20, 35, 60, 90)]
+    rows = [(d, "\n".join(block[b] for b in rng.integers(0, 4, 6)) + f" own{d} " + "c d e " * int(rng.integers(10, 60)), "en", "a", 1) for d in range(25)]
+    want = brute([(r[0], r[1]) for r in rows])
+    assert want and result(spark.createDataFrame([*rows, rows[3]], DOCUMENTS)) == want
