@@ -7,8 +7,11 @@ is one direction, so a vector finds all its filters from the two short lists of
 block scores, without looking at the others.  Vectors that share a filter are
 compared exactly.
 
-The number of filters and the cap follow the largest label, so that a filter
-holds a few unrelated vectors of a label at any size.
+The size of a code and the cap follow the largest label, so that a filter holds
+a few unrelated vectors of a label at any size.  The filters of one code depend
+on each other, so how many codes the recall takes is measured: each code is
+turned at random, so that random pairs at the threshold tell for any pair how
+often one code misses it.
 """
 
 from __future__ import annotations
@@ -27,15 +30,16 @@ from .buckets import bytes_matrix, components, groups, meets_first, padded, root
 from .texts import small_batches
 
 THRESHOLD = 0.93
-# Of the pairs at the threshold this share meets in a filter (counted without
-# the dependence between filters of one code, which costs a little).
+# Of the pairs at the threshold this share meets in a filter.
 RECALL = 0.9999
 # Unrelated vectors of the largest label that a filter holds on average.
 CROWD = 8.0
 SEED = 7
-# Independent product codes that share the filters.  In one code the filters of a
-# vector depend on each other: some vectors would lie in very few caps.
+# Independent product codes, at least.  In one code the filters of a vector depend
+# on each other: some vectors would lie in very few caps.
 CODES = 6
+# Random pairs for each of these codes, to measure how often a code misses a pair.
+TRIALS = 1_000
 
 
 def tail(x: float) -> float:
@@ -73,9 +77,30 @@ class Filters:
         self.half = length // 2
         # Scores of the two halves add up; each has variance 1 / length.
         self.least = cap * math.sqrt(2.0 / length)
+        self.length = length
         rng = np.random.default_rng(SEED)
-        self.codes = [(np.linalg.qr(rng.standard_normal((length, length)))[0], self.directions(rng, self.half),
-                       self.directions(rng, length - self.half)) for _ in range(CODES)]
+        self.codes = [self.code(rng) for _ in range(CODES)]
+        missed = self.missed(threshold)
+        more = 0 if missed <= 0 else math.ceil(math.log(1 - recall) / math.log(missed)) - CODES
+        self.codes += [self.code(rng) for _ in range(more)]
+
+    def code(self, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return (np.linalg.qr(rng.standard_normal((self.length, self.length)))[0], self.directions(rng, self.half),
+                self.directions(rng, self.length - self.half))
+
+    def missed(self, threshold: float) -> float:
+        """The share of random pairs at the threshold that meet in no filter of one code, and two standard errors."""
+        if self.length < 2:
+            return 0.0  # only equal vectors are close
+        rng = np.random.default_rng(SEED + 1)
+        n = TRIALS * len(self.codes)
+        misses = 0
+        for c in range(len(self.codes)):
+            one, two = pairs_at(threshold, TRIALS, self.length, rng)
+            misses += sum(not len(np.intersect1d(a, b)) for a, b in zip(self.hits(c, one), self.hits(c, two)))
+        share = misses / n
+        # At least three misses: none in n trials is no proof of none.
+        return min(0.99, max(share, 3 / n) + 2 * math.sqrt(share * (1 - share) / n))
 
     def directions(self, rng: np.random.Generator, length: int) -> np.ndarray:
         found = rng.standard_normal((self.size, length))
@@ -83,21 +108,35 @@ class Filters:
 
     def of(self, unit: np.ndarray) -> list[np.ndarray]:
         """The numbers of all filters of each unit vector."""
-        found: list[list[np.ndarray]] = [[] for _ in unit]
-        for c, (turn, left, right) in enumerate(self.codes):
-            turned = unit @ turn
-            scores, others = turned[:, :self.half] @ left.T, turned[:, self.half:] @ right.T
-            order = np.argsort(-others, axis=1)
-            first = c * self.size ** 2
-            for out, a, b, o in zip(found, scores, others, order):
-                reach = np.searchsorted(-b[o], a - self.least, side="right")
-                hit = np.nonzero(reach)[0]
-                if len(hit):
-                    out += [first + i * self.size + o[:reach[i]] for i in hit.tolist()]
-                else:
-                    out.append(np.array([first + int(a.argmax()) * self.size + o[0]]))
+        found = zip(*[self.hits(c, unit) for c in range(len(self.codes))])
         return [np.concatenate(f).astype(np.int64) for f in found]
 
+    def hits(self, c: int, unit: np.ndarray) -> list[np.ndarray]:
+        """The numbers of the filters of one code."""
+        turn, left, right = self.codes[c]
+        turned = unit @ turn
+        scores, others = turned[:, :self.half] @ left.T, turned[:, self.half:] @ right.T
+        order = np.argsort(-others, axis=1)
+        first = c * self.size ** 2
+        found = []
+        for a, b, o in zip(scores, others, order):
+            reach = np.searchsorted(-b[o], a - self.least, side="right")
+            hit = np.nonzero(reach)[0]
+            if len(hit):
+                found.append(np.concatenate([first + i * self.size + o[:reach[i]] for i in hit.tolist()]))
+            else:
+                found.append(np.array([first + int(a.argmax()) * self.size + o[0]]))
+        return found
+
+
+def pairs_at(cosine: float, n: int, length: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Random pairs of unit vectors with this cosine."""
+    one, other = rng.standard_normal((2, n, length))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    other -= (other * one).sum(axis=1, keepdims=True) * one
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    return one, cosine * one + math.sqrt(max(0.0, 1 - cosine * cosine)) * other
+
 
 def unit_vector(values: list | None) -> np.ndarray | None:
     """The vector over its length, or None where it has none."""

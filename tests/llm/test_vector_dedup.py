@@ -64,3 +64,15 @@ def test_recall(spark):
     got, want = result(vector_dedup.vector_dedup(spark.createDataFrame(rows, SCHEMA))), brute(rows)
     assert all(got[i][0] <= want[i][0] for i in want)
     assert sum(g[0] for g in got.values()) >= 0.99 * sum(w[0] for w in want.values())
+
+
+def test_recall_of_filters_for_large_labels():
+    """Pairs just above the threshold alone, other than those the codes were sized with."""
+    rng = np.random.default_rng(23)
+    for length, largest, least in ((64, 100_000, 0.999), (64, 200, 0.999), (7, 5_000, 0.999)):
+        filters = vector_dedup.Filters(length, largest)
+        for cosine in (0.93, 0.94):
+            one, two = vector_dedup.pairs_at(cosine, 1_500, length, rng)
+            assert np.allclose((one * two).sum(axis=1), cosine)
+            met = [len(np.intersect1d(a, b)) > 0 for a, b in zip(filters.of(one), filters.of(two))]
+            assert np.mean(met) >= least, (length, largest, cosine)
