@@ -76,7 +76,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
 
     ``files`` is the number of range partitions, each a file (default: the
     session's shuffle partitions).  A null text counts as empty and a null id
-    sorts first; rows with the same id follow each other by text.  ``folder``
+    sorts first; rows with the same id follow each other by text.  An id that does
+    not fit ``id_bytes`` fails the job.  ``folder``
     must be one that all executors share.
     """
     spark = docs.sparkSession
@@ -100,6 +101,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
             rows = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
                 wide = np.frombuffer(ids + end, dtype="<u4")
+                if int(wide.max()) >= 1 << 8 * id_bytes:
+                    raise ValueError(f"token id {int(wide.max())} does not fit {id_bytes} bytes")
                 framed = frame(wide.astype(f"<u{id_bytes}").tobytes())
                 out.write(framed)
                 rows.append((doc_id, name, part, number, at, len(framed), tokens, len(wide)))

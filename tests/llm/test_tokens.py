@@ -114,3 +114,12 @@ def test_damage_is_seen():
             token_files.unframe(memoryview(bytes(broken)))
     with pytest.raises(ValueError):
         token_files.unframe(memoryview(whole[:-1]))
+
+
+def test_ids_that_do_not_fit_fail(spark):
+    docs = awkward(spark).where("doc_id = 9")
+    with pytest.raises(Exception, match="token id 70000 does not fit 2 bytes"):
+        token_files.write_records(docs, scratch_path(spark, "records"), BYTES, end_id=70_000, files=1)
+    folder = scratch_path(spark, "records")
+    index = token_files.write_records(docs, folder, BYTES, end_id=70_000, id_bytes=4, files=1)
+    assert token_files.encoded_documents(index, folder).first()["ids_crc32"] == zlib.crc32(ids_of(BYTES, "one two", 70_000))
