@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import (html_text, license_scan, mixing, ngram_join, oracles, packing, passage_dedup, passage_spans,
-               quality_model, quality_rules, token_files, vector_dedup)
+from . import (html_text, license_scan, merkle, mixing, ngram_join, oracles, packing, passage_dedup, passage_spans,
+               quality_model, quality_rules, token_counts, token_files, vector_dedup, whitening)
 from .texts import table
 from .tokens import tokenizer_path
 
@@ -19,6 +19,7 @@ SQL: dict[str, str] = {
     "op5_vector_dedup": oracles.VECTOR_DEDUP_SQL,
     "op7_passage_dedup": oracles.PASSAGE_DEDUP_SQL,
     "op9_quality_rules": oracles.quality_sql(),
+    "op13_merkle_manifest": merkle.MANIFEST_SQL,
 }
 
 
@@ -82,3 +83,19 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a cache of its own, so that every content of the table is encoded."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), scratch_path(spark, "token-counts"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(table(spark, sf_dir, "documents"))
