@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -97,28 +98,66 @@ def yeo_johnson(x: Column, power: Column | float) -> Column:
     return F.when(x >= 0, up).when(x < 0, down)
 
 
-def _constants(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[int, float]]:
-    """Row count and the part of the likelihood that does not depend on spread; constant columns left out."""
+# Cells of the digest of a column; each is a weighted centroid.
+DIGEST_CELLS = 1024
+
+
+def _log_scaled(x: Column) -> Column:
+    return F.signum(x) * F.log1p(F.abs(x))
+
+
+def _constants(rows: DataFrame) -> dict:
+    """Row count, the part of the likelihood that does not depend on spread, and the range; constant columns left out."""
     x = F.col("value")
-    rows = melt(df, cols).where(x.isNotNull()).groupBy("column").agg(
-        F.count(x).alias("n"), F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("tilt"), F.min(x).alias("low"), F.max(x).alias("high"))
-    return {r["column"]: (r["n"], r["tilt"]) for r in rows.collect() if r["low"] < r["high"]}
+    found = rows.groupBy("column").agg(F.count(x).alias("n"), F.sum(_log_scaled(x)).alias("tilt"), F.min(x).alias("low"), F.max(x).alias("high"))
+    return {r["column"]: (r["n"], r["tilt"], r["low"], r["high"]) for r in found.collect() if r["low"] < r["high"]}
+
+
+def _digests(rows: DataFrame, constants: dict) -> dict:
+    """Weighted centroids (means, rows) of each column, at most ``DIGEST_CELLS`` and one; they merge by adding up."""
+    keyed = rows.sparkSession.createDataFrame([(c, low, high) for c, (_, _, low, high) in constants.items()], f"column {rows.schema['column'].dataType.simpleString()}, low double, high double")
+    span = _log_scaled(F.col("high")) - _log_scaled(F.col("low"))
+    cell = F.floor((_log_scaled(F.col("value")) - _log_scaled(F.col("low"))) / span * DIGEST_CELLS)
+    cells = rows.join(F.broadcast(keyed), "column").groupBy("column", cell.alias("cell")).agg(F.avg("value").alias("mean"), F.count("value").alias("n"))
+    found: dict = {}
+    for r in cells.collect():
+        found.setdefault(r["column"], []).append((r["mean"], r["n"]))
+    return {c: tuple(np.array(v, dtype=float).T) for c, v in found.items()}
+
+
+def _score(variance: float | None, n: int, tilt: float, power: float) -> float:
+    usable = variance is not None and variance > 1e-300 and math.isfinite(variance)
+    return -n / 2 * math.log(variance) + (power - 1) * tilt if usable else -math.inf
+
+
+def _digest_likelihoods(digests: dict, grids: dict, constants: dict) -> dict:
+    result = {}
+    with np.errstate(all="ignore"):
+        for c, grid in grids.items():
+            x, weight = digests[c]
+            n, tilt = constants[c][:2]
+            scores = []
+            for p in grid:
+                up = np.log1p(np.maximum(x, 0)) if p == 0 else (np.power(np.maximum(x, 0) + 1, p) - 1) / p
+                down = -np.log1p(np.maximum(-x, 0)) if p == 2 else -(np.power(1 + np.maximum(-x, 0), 2 - p) - 1) / (2 - p)
+                t = np.where(x >= 0, up, down)
+                mean = np.average(t, weights=weight)
+                scores.append(_score(float(np.average((t - mean) ** 2, weights=weight)), n, tilt, p))
+            result[c] = scores
+    return result
 
 
-def _likelihoods(df: DataFrame, grids: dict[str, list[float]], constants: dict[str, tuple[int, float]]) -> dict[str, list[float]]:
+def _likelihoods(rows: DataFrame, grids: dict, constants: dict) -> dict:
     """Log-likelihood per column and candidate power, from one aggregation."""
-    candidates = df.sparkSession.createDataFrame(list(grids.items()), "column string, powers array<double>")
+    key = rows.schema["column"].dataType.simpleString()
+    candidates = rows.sparkSession.createDataFrame(list(grids.items()), f"column {key}, powers array<double>")
     x = F.col("value")
-    rows = melt(df, list(grids)).where(x.isNotNull()).join(F.broadcast(candidates), "column")
-    spreads = rows.groupBy("column").agg(F.array(*[
+    spreads = rows.join(F.broadcast(candidates), "column").groupBy("column").agg(F.array(*[
         F.var_pop(yeo_johnson(x, F.get("powers", F.lit(i)))) for i in range(2 * GRID_HALF + 1)]).alias("v")).collect()
     result = {c: [-math.inf] * len(grid) for c, grid in grids.items()}
     for r in spreads:
         c = r["column"]
-        n, tilt = constants[c]
-        for i, v in enumerate(r["v"]):
-            if v is not None and v > 1e-300 and math.isfinite(v):
-                result[c][i] = -n / 2 * math.log(v) + (grids[c][i] - 1) * tilt
+        result[c] = [_score(v, *constants[c][:2], p) for v, p in zip(r["v"], grids[c])]
     return result
 
 
@@ -132,23 +171,18 @@ def _parabola_peak(grid: list[float], scores: list[float], i: int) -> float:
     return grid[i] + (grid[1] - grid[0]) * 0.5 * (left - right) / bend
 
 
-def fit_powers(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
-    """Maximum-likelihood power per column; 1 for a constant column.
+def _climb(likelihoods: Callable[[dict], dict], center: dict, steps: Sequence[float]) -> dict:
+    """The peak of each column: a grid, then finer ones around the peak so far.
 
-    A few aggregations over all columns at once, without a shuffle of rows: a
-    coarse grid, then finer ones around the peak so far.  While the best point
-    is on the edge the grid moves there and widens, so no power is out of
-    reach.  A column whose likelihood has no peak is an error.
+    While the best point is on the edge the grid moves there and widens, so no
+    power is out of reach.  A column whose likelihood has no peak is an error.
     """
-    constants = _constants(df, cols)
-    powers = {c: 1.0 for c in cols}
-    center = dict.fromkeys(constants, 0.0)
-    step = dict.fromkeys(constants, GRID_STEPS[0])
+    center, powers, step = dict(center), dict(center), dict.fromkeys(center, steps[0])
     for _ in range(GRID_ROUNDS):
         grids = {c: [center[c] + i * s for i in range(-GRID_HALF, GRID_HALF + 1)] for c, s in step.items() if s}
         if not grids:
             return powers
-        for c, scores in _likelihoods(df, grids, constants).items():
+        for c, scores in likelihoods(grids).items():
             grid = grids[c]
             if max(scores) == -math.inf:
                 center[c] = 0.0         # beyond what a double can hold: start again, finer
@@ -160,10 +194,30 @@ def fit_powers(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
                 step[c] *= 2
                 continue
             powers[c] = center[c] = _parabola_peak(grid, scores, best)
-            step[c] = next((s for s in GRID_STEPS if s < step[c] * 0.5), 0.0) if step[c] <= GRID_STEPS[0] else step[c] / 4
+            step[c] = next((s for s in steps if s < step[c] * 0.5), 0.0) if step[c] <= steps[0] else step[c] / 4
     raise ArithmeticError(f"no power maximises the likelihood of {sorted(c for c, s in step.items() if s)}")
 
 
+def fit_long_powers(rows: DataFrame) -> dict:
+    """Maximum-likelihood power of each key of (column, value) rows without nulls; constant columns left out.
+
+    One scan for counts and ranges, one for a digest of each column, on which
+    the driver finds the peak; two exact scans around it refine it (more only
+    where the digest was so coarse that the peak lies outside their grid).
+    """
+    constants = _constants(rows)
+    if not constants:
+        return {}
+    digests = _digests(rows, constants)
+    near = _climb(lambda grids: _digest_likelihoods(digests, grids, constants), dict.fromkeys(constants, 0.0), GRID_STEPS)
+    return _climb(lambda grids: _likelihoods(rows, grids, constants), near, GRID_STEPS[1:])
+
+
+def fit_powers(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
+    """Maximum-likelihood power per column; 1 for a constant column."""
+    return {c: 1.0 for c in cols} | fit_long_powers(melt(df, cols).where(F.col("value").isNotNull()))
+
+
 class PowerTransformModel(_Learned):
     """Learned values per column: power, mean, standard deviation."""
 

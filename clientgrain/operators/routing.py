@@ -7,8 +7,8 @@ from dataclasses import dataclass
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, PipelineModel, Transformer
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.param import Param, Params
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from .. import contract
 from .coercion import TypeCoercer
-from .encoders import (MISSING_LABEL, TREE_MISSING_LABEL, ConstantImputer, CrossFitEncoder, MedianImputer, ModeImputer,
-                       PowerTransform, RobustScaling, encode_training)
+from .encoders import MISSING_LABEL, TREE_MISSING_LABEL, ConstantImputer, CrossFitEncoder, encode_training
+from .packed import PackedAssembler, PackedModes, PackedNumbers, PackedScaling
 from .row_features import RowFeatures
 
 FEATURES = "features"
@@ -27,23 +27,6 @@ BELOW_ALL = -3.0e38               # missing numbers sort below the known ones in
 MAX_ONE_HOT = 10_000              # one-hot labels go through the driver
 
 
-class NumberImputer(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
-    """Constant number in place of null, for models that cannot hold nulls."""
-
-    number = Param(Params._dummy(), "number", "value in place of null", TypeConverters.toFloat)
-
-    @keyword_only
-    def __init__(self, *, inputCols: Sequence[str] | None = None, number: float = 0.0):
-        super().__init__()
-        self._setDefault(inputCols=[], number=0.0)
-        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        value = F.lit(self.getOrDefault(self.number))
-        filled = {c: F.coalesce(F.col(c).cast("double"), value) for c in self.getInputCols()}
-        return dataset.withColumns(filled) if filled else dataset
-
-
 class ColumnConformer(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Adds the columns a model was trained on and the input lacks, as nulls."""
 
@@ -119,8 +102,7 @@ class FeatureLists:
         return list(dict.fromkeys([*self.numerical, *self.categorical, *self.binary]))
 
 
-def _assemble(names: Sequence[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(names), outputCol=FEATURES, handleInvalid="error")
+NUMBERS, FLAGS = "_numbers", "_flags"
 
 
 def tree_stages(lists: FeatureLists, label: str, row_id: str, indexed: Sequence[str] = (),
@@ -136,29 +118,28 @@ def tree_stages(lists: FeatureLists, label: str, row_id: str, indexed: Sequence[
     many = [c for c in lists.categorical if c not in set(indexed)]
     numbers = [*lists.numerical, *lists.binary]
     slots = [f"{c}_idx" for c in few]
-    stages: list = [TypeCoercer(), NumberImputer(inputCols=numbers, number=BELOW_ALL)]
+    stages: list = [TypeCoercer(), PackedNumbers(inputCols=numbers, outputCol=NUMBERS, number=BELOW_ALL)]
     if lists.categorical:
         stages.append(ConstantImputer(inputCols=list(lists.categorical), label=TREE_MISSING_LABEL))
     if few:
         stages.append(StringIndexer(inputCols=few, outputCols=slots, handleInvalid="keep", stringOrderType="alphabetAsc"))
     if many:
         stages.append(CrossFitEncoder(inputCols=many, labelCol=label, idCol=row_id, seed=encoder_seed))
-    return [*stages, _assemble([*numbers, *slots, *many])]
+    return [*stages, PackedAssembler(inputCols=[NUMBERS, *slots, *many], outputCol=FEATURES, packed={NUMBERS: numbers})]
 
 
 def dense_stages(lists: FeatureLists, label: str, row_id: str, encoder_seed: int = ENCODER_SEED) -> list:
     """Impute, bend and scale numbers, encode categories, fill flags, one vector."""
-    stages: list = [TypeCoercer()]
-    if lists.numerical:
-        cols = list(lists.numerical)
-        stages += [MedianImputer(inputCols=cols), PowerTransform(inputCols=cols), RobustScaling(inputCols=cols)]
-    if lists.binary:
-        stages.append(ModeImputer(inputCols=list(lists.binary)))
-    if lists.categorical:
-        cols = list(lists.categorical)
+    numbers, flags, cols = list(lists.numerical), list(lists.binary), list(lists.categorical)
+    stages: list = [TypeCoercer(), PackedScaling(inputCols=numbers, outputCol=NUMBERS), PackedModes(inputCols=flags, outputCol=FLAGS)]
+    if cols:
         stages += [ConstantImputer(inputCols=cols, label=MISSING_LABEL),
                    CrossFitEncoder(inputCols=cols, labelCol=label, idCol=row_id, seed=encoder_seed)]
-    return [*stages, _assemble([*lists.numerical, *lists.categorical, *lists.binary])]
+    return [*stages, PackedAssembler(inputCols=[NUMBERS, *cols, FLAGS], outputCol=FEATURES, packed={NUMBERS: numbers, FLAGS: flags})]
+
+
+def preprocessing_kind(model_name: str) -> str:
+    return "tree" if model_name.lower() == "catboost" else "dense"
 
 
 def preprocessing(model_name: str, train: DataFrame, lists: FeatureLists, label: str = contract.TARGET_COLUMN,
@@ -173,7 +154,7 @@ def preprocessing(model_name: str, train: DataFrame, lists: FeatureLists, label:
     first: list = [ColumnConformer(fields={c: train.schema[c].dataType.simpleString() for c in lists.all() if c in train.columns})]
     if row_features:
         first.append(RowFeatures())
-    if model_name.lower() == "catboost":
+    if preprocessing_kind(model_name) == "tree":
         return first + tree_stages(lists, label, row_id, indexed, encoder_seed)
     return first + dense_stages(lists, label, row_id, encoder_seed)
 

@@ -39,6 +39,8 @@ def _with_donors(base: DataFrame, row_id: str, buckets: int, seed: int) -> DataF
 
 def used_slots(model, n: int) -> list[int]:
     """Slots the model looks at; permuting any other changes no score."""
+    if hasattr(model, "used_features"):
+        return sorted(model.used_features)
     if hasattr(model, "featureImportances"):
         weights = model.featureImportances.toArray()
         return [i for i in range(n) if weights[i] != 0]
@@ -51,39 +53,86 @@ def used_slots(model, n: int) -> list[int]:
     return list(range(n))
 
 
+def linear_weights(model) -> list[float] | None:
+    """The weight of each slot in a linear model's margin; None for other models."""
+    if hasattr(model, "coefficients") and hasattr(model, "intercept"):
+        return [float(w) for w in model.coefficients.toArray()]
+    return None
+
+
+def _drops(variants: DataFrame, baseline: float, label: str) -> DataFrame:
+    """(_slot, importance, importance_std) of rows (_repeat, _slot, label, score)."""
+    auc = MT.roc_auc(variants, label, SCORE, ["_repeat", "_slot"])
+    drops = auc.withColumn("_drop", F.lit(baseline) - F.col("roc_auc"))
+    return drops.groupBy("_slot").agg(F.avg("_drop").alias("importance"), F.stddev_pop("_drop").alias("importance_std"))
+
+
+def _with_repeats(base: DataFrame, row_id: str, repeats: int, seed: int, bucket_rows: int) -> DataFrame:
+    buckets = max(1, math.ceil(base.count() / bucket_rows))
+    return reduce(DataFrame.unionByName, [
+        _with_donors(base, row_id, buckets, seed + 2 * r + 2).withColumn("_repeat", F.lit(r)) for r in range(repeats)])
+
+
+def linear_importance(base: DataFrame, weights: Sequence[float], names: Sequence[str], label: str = contract.TARGET_COLUMN,
+                      row_id: str = contract.ID_COLUMN, repeats: int = REPEATS, seed: int = contract.SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """M12 for a linear margin over ``base`` (row id, label, array ``x``): (feature, importance, importance_std).
+
+    A permuted slot changes a row's margin by weight times (donor - own), so no
+    vector is copied and no row scored again: a variant is a margin.
+    """
+    weight = F.lit([float(w) for w in weights])
+    margin = F.aggregate(F.zip_with("x", weight, lambda v, w: v * w), F.lit(0.0), lambda a, v: a + v)
+    base = cut(base.select(row_id, label, "x", margin.alias("_margin")))
+    baseline = MT.roc_auc(base.withColumn(SCORE, F.col("_margin")), label, SCORE).first()["roc_auc"]
+    slots = base.sparkSession.createDataFrame(list(enumerate(names)), "_slot int, feature string")
+    used = [i for i, w in enumerate(weights) if w]
+    if used and baseline is not None:
+        permuted = _with_repeats(base, row_id, repeats, seed, bucket_rows)
+        moved = F.transform(F.zip_with("x", "donor", lambda own, other: other - own), lambda v, i: F.struct(i.alias("_slot"), (v * F.get(weight, i)).alias("move")))
+        variants = (permuted.select("_repeat", label, "_margin", F.explode(F.filter(moved, lambda m: F.get(weight, m["_slot"]) != 0)).alias("m"))
+                    .select("_repeat", F.col("m._slot").alias("_slot"), label, (F.col("_margin") + F.col("m.move")).alias(SCORE)))
+        slots = slots.join(_drops(variants, baseline, label), "_slot", "left")
+    else:
+        slots = slots.withColumns({"importance": F.lit(None).cast("double"), "importance_std": F.lit(None).cast("double")})
+    return _named(slots, used)
+
+
+def _named(slots: DataFrame, used: Sequence[int]) -> DataFrame:
+    is_used = F.array_contains(F.lit(list(used)).cast("array<int>"), F.col("_slot"))
+    return slots.select("feature", *[F.when(is_used, F.col(c)).otherwise(0.0).alias(c) for c in ("importance", "importance_std")]
+                        ).orderBy(F.desc("importance"), "feature")
+
+
 def permutation_importance(model, rows: DataFrame, names: Sequence[str], score: Column,
                            label: str = contract.TARGET_COLUMN, row_id: str = contract.ID_COLUMN,
                            repeats: int = REPEATS, seed: int = contract.SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(feature, importance, importance_std): loss of AUC when one feature is permuted.
 
     ``rows`` holds the assembled vectors of held-out rows; they are stored
-    once, and the unchanged rows are scored once.  Each row then comes once per
-    repeat and feature the model uses, with that slot taken from its donor;
-    features it does not use lose exactly nothing.
+    once, and the unchanged rows are scored once.  Linear models see
+    ``linear_importance``.  For the others each row comes once per repeat and
+    feature the model uses, with that slot taken from its donor; features it
+    does not use lose exactly nothing.
     """
     base = cut(rows.select(row_id, F.col(label).cast("int").alias(label), vector_to_array(FEATURES).alias("x")))
-    buckets = max(1, math.ceil(base.count() / bucket_rows))
+    weights = linear_weights(model)
+    if weights is not None:
+        return linear_importance(base, weights, names, label, row_id, repeats, seed, bucket_rows)
     n = len(names)
     used = used_slots(model, n)
     slots = rows.sparkSession.createDataFrame(list(enumerate(names)), "_slot int, feature string")
     if used:
         unchanged = model.transform(base.select(label, array_to_vector("x").alias(FEATURES))).withColumn(SCORE, score)
         baseline = MT.roc_auc(unchanged, label, SCORE).first()["roc_auc"]
-        permuted = reduce(DataFrame.unionByName, [
-            _with_donors(base, row_id, buckets, seed + 2 * r + 2).withColumn("_repeat", F.lit(r)) for r in range(repeats)])
         slot = F.col("_slot")
-        variants = permuted.withColumn("_slot", F.explode(F.array(*[F.lit(i) for i in used])))
+        variants = _with_repeats(base, row_id, repeats, seed, bucket_rows).withColumn("_slot", F.explode(F.array(*[F.lit(i) for i in used])))
         swapped = F.concat(F.slice("x", F.lit(1), slot), F.array(F.get(F.col("donor"), slot)), F.slice("x", slot + 2, F.lit(n)))
         variants = variants.select("_repeat", "_slot", label, array_to_vector(swapped).alias(FEATURES))
-        auc = MT.roc_auc(model.transform(variants).withColumn(SCORE, score), label, SCORE, ["_repeat", "_slot"])
-        drops = auc.withColumn("_drop", F.lit(baseline) - F.col("roc_auc"))
-        by_slot = drops.groupBy("_slot").agg(F.avg("_drop").alias("importance"), F.stddev_pop("_drop").alias("importance_std"))
-        slots = slots.join(by_slot, "_slot", "left")
+        scored = model.transform(variants).withColumn(SCORE, score)
+        slots = slots.join(_drops(scored, baseline, label), "_slot", "left")
     else:
         slots = slots.withColumns({"importance": F.lit(None).cast("double"), "importance_std": F.lit(None).cast("double")})
-    is_used = F.col("_slot").isin(used)
-    return slots.select("feature", *[F.when(is_used, F.col(c)).otherwise(0.0).alias(c) for c in ("importance", "importance_std")]
-                        ).orderBy(F.desc("importance"), "feature")
+    return _named(slots, used)
 
 
 def importance_of(trained: Trained, held_out: DataFrame, label: str = contract.TARGET_COLUMN,

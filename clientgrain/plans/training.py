@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from .. import contract
 from ..operators import metrics as MT
-from ..operators.routing import ENCODER_SEED, FEATURES, FeatureLists, feature_names, fit_stages, preprocessing
+from ..operators.routing import ENCODER_SEED, FEATURES, FeatureLists, feature_names, fit_stages, preprocessing, preprocessing_kind
 from ..operators.splits import stratified_folds, train_and_test
 from ..session import cut, shared_folder
-from .models import VALIDATION, model_names, spec_for, with_training_columns
+from .models import model_names, spec_for, with_training_columns
 
 log = logging.getLogger(__name__)
 
@@ -39,27 +39,37 @@ class Trained:
     cv: DataFrame | None = None               # (model, cv_mean, cv_std, cv_scores)
 
 
-def fit(name: str, train: DataFrame, lists: FeatureLists | None = None, label: str = contract.TARGET_COLUMN,
-        row_id: str = contract.ID_COLUMN, row_features: bool = False, encoder_seed: int = ENCODER_SEED,
-        **overrides) -> Trained:
-    """Preprocessing and classifier, fitted on the training rows only."""
-    spec = spec_for(name)
-    shared_folder(train.sparkSession)         # boosted trees cut their lineage there
+@dataclass
+class Prepared:
+    """A fitted preprocessing and the vectors of the rows it was fitted on."""
+
+    stages: PipelineModel
+    rows: DataFrame                           # (row id, label, features)
+    features: list[str]
+
+
+def prepare(name: str, train: DataFrame, lists: FeatureLists | None = None, label: str = contract.TARGET_COLUMN,
+            row_id: str = contract.ID_COLUMN, row_features: bool = False, encoder_seed: int = ENCODER_SEED) -> Prepared:
+    """The preprocessing of a model, fitted on the training rows; models of one kind can share it."""
     lists = lists or FeatureLists.from_contract(train)
     # Derived row features need their raw inputs; otherwise only listed columns are read.
     wanted = set(train.columns if row_features else lists.all()) - {row_id, label}
     needed = train.select(row_id, label, *[c for c in train.columns if c in wanted])
-    stages = preprocessing(name, needed, lists, label, row_id, row_features, encoder_seed=encoder_seed)
-    prepared_by, prepared = fit_stages(stages, needed)
-    names = feature_names(prepared)
-    rows = train.count() if spec.needs_rows else 0
+    stages, prepared = fit_stages(preprocessing(name, needed, lists, label, row_id, row_features, encoder_seed=encoder_seed), needed)
+    return Prepared(stages, prepared.select(row_id, label, FEATURES), feature_names(prepared))
+
+
+def fit(name: str, train: DataFrame, lists: FeatureLists | None = None, label: str = contract.TARGET_COLUMN,
+        row_id: str = contract.ID_COLUMN, row_features: bool = False, encoder_seed: int = ENCODER_SEED,
+        prepared: Prepared | None = None, **overrides) -> Trained:
+    """Preprocessing and classifier, fitted on the training rows only; ``prepared`` is a preprocessing of them that is there already."""
+    spec = spec_for(name)
+    shared_folder(train.sparkSession)         # boosted trees cut their lineage there
+    prepared = prepared or prepare(name, train, lists, label, row_id, row_features, encoder_seed)
+    rows = prepared.rows.count() if spec.needs_rows else 0
     params = {**spec.params, **overrides}
-    ready = with_training_columns(prepared, spec, label, row_id).drop(*lists.all())
-    grown = ready.where(~F.col(VALIDATION)) if spec.validation_share else ready
-    fitted = spec.build(rows, label, params).fit(grown)
-    if spec.finish is not None:
-        fitted = spec.finish(fitted, ready.where(F.col(VALIDATION)) if spec.validation_share else ready, params)
-    return Trained(name, PipelineModel([*prepared_by.stages, fitted]), names)
+    fitted = spec.build(rows, label, params).fit(with_training_columns(prepared.rows, spec, label, row_id))
+    return Trained(name, PipelineModel([*prepared.stages.stages, fitted]), prepared.features)
 
 
 def scored(trained: Trained, df: DataFrame, keep: Sequence[str], as_probability: bool = False) -> DataFrame:
@@ -71,9 +81,9 @@ def scored(trained: Trained, df: DataFrame, keep: Sequence[str], as_probability:
 
 
 def train(name: str, train_rows: DataFrame, test_rows: DataFrame, lists: FeatureLists | None = None,
-          label: str = contract.TARGET_COLUMN, row_id: str = contract.ID_COLUMN, **overrides) -> Trained:
+          label: str = contract.TARGET_COLUMN, row_id: str = contract.ID_COLUMN, prepared: Prepared | None = None, **overrides) -> Trained:
     """M6: fit, then score both splits once each."""
-    trained = fit(name, train_rows, lists, label, row_id, **overrides)
+    trained = fit(name, train_rows, lists, label, row_id, prepared=prepared, **overrides)
     on_train = scored(trained, train_rows, [label]).withColumn("split", F.lit("train"))
     on_test = scored(trained, test_rows, [label])
     both = on_train.unionByName(on_test.withColumn("split", F.lit("test"))).withColumn("model", F.lit(name))
@@ -115,16 +125,22 @@ def train_many(df: DataFrame, names: Sequence[str] | None = None, run_cv: bool =
                label: str = contract.TARGET_COLUMN, row_id: str = contract.ID_COLUMN) -> tuple[dict[str, Trained], DataFrame]:
     """Train the named models on one split; a failing one is recorded and skipped.
 
-    Returns the trained models and (model, status, error) rows.
+    Models of one kind of preprocessing share it.  Returns the trained models
+    and (model, status, error) rows.
     """
     train_rows, test_rows = train_and_test(df, row_id=row_id, label=label)
     done: dict[str, Trained] = {}
+    shared: dict[str, Prepared] = {}
     outcomes = []
     for name in names or model_names():
         try:
             options = (overrides or {}).get(name, {})
             cv = cross_validate(name, train_rows, lists, label=label, row_id=row_id, **options) if run_cv else None
-            trained = train(name, train_rows, test_rows, lists, label, row_id, **options)
+            spec_for(name)
+            kind = preprocessing_kind(name)
+            if kind not in shared:
+                shared[kind] = prepare(name, train_rows, lists, label, row_id)
+            trained = train(name, train_rows, test_rows, lists, label, row_id, shared[kind], **options)
             trained.cv = cv
             if save_to:
                 save(trained, f"{save_to}/{name}")
@@ -178,4 +194,4 @@ def load(spark: SparkSession, name: str, path: str) -> Trained:
     except AnalysisException:
         metrics = None
     assembler = next(s for s in model.stages if s.hasParam("outputCol") and s.getOrDefault("outputCol") == FEATURES)
-    return Trained(name, model, list(assembler.getInputCols()), metrics)
+    return Trained(name, model, assembler.slots(), metrics)

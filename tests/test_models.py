@@ -171,18 +171,6 @@ def test_an_error_without_text_is_recorded(planted, monkeypatch):
     assert table.columns == ["model", *TR.MT.COMPARISON_COLUMNS] and table.count() == 0
 
 
-def test_early_stopping_keeps_the_best_trees(planted):
-    assert MO.best_length([3, 2, 4, 4, 1], 2) == 2 and MO.best_length([3, 2, 4, 4, 1], 4) == 5 and MO.best_length([5], 1) == 1
-    whole = TR.fit("xgboost", planted, LISTS, n_estimators=6, learning_rate=0.1).model
-    classifier = whole.stages[-1]
-    rows = MO.with_training_columns(whole.transform(planted).drop("rawPrediction", "probability", "prediction"), MO.MODELS["xgboost"], Y, ID)
-    losses = classifier.evaluateEachIteration(rows)
-    short = MO.first_trees(classifier, 3)
-    assert short.getNumTrees == 3 and short.evaluateEachIteration(rows) == pytest.approx(losses[:3])
-    patient = TR.fit("catboost", planted, LISTS, n_estimators=5, learning_rate=0.3, max_depth=3, patience=1).model.stages[-1]
-    assert 1 <= patient.getNumTrees <= 5
-
-
 def test_features_without_weight_lose_nothing(planted):
     """A model that never looks at a feature is scored on the others only."""
     train_rows, test_rows = train_and_test(planted.withColumn("AMT_CREDIT", F.lit(1.0)))
