@@ -1,12 +1,14 @@
 """Passages that repeat across documents, by banded MinHash of paragraphs.
 
-A paragraph is a line with words.  Paragraphs with equal shingle sets fall
-together first; the distinct ones are sketched, and bands of the sketch put
-similar ones in the same bucket, where they are compared exactly.  Similar
-paragraphs form clusters; all but the first paragraph of a cluster are repeats.
-A repeat is removed if it belongs to a run of neighbouring repeats of at least
+Paragraphs come in two sizes.  The first is a line with words.  Lines with equal
+shingle sets fall together first; the distinct ones are sketched, and bands of
+the sketch put similar ones in the same bucket, where they are compared exactly.
+Similar lines form clusters; all but the first of a cluster are repeats.  A
+repeat is removed if it belongs to a run of neighbouring repeats of at least
 ``MIN_WORDS`` words: short lines that recur everywhere stay unless they are part
-of a longer repeated passage.
+of a longer repeated passage.  The second are the content-defined units of
+``passage_units``, which find what is repeated inside lines of different text.
+Both come from one reading of the texts.
 """
 
 from __future__ import annotations
@@ -19,15 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..session import cut
 from . import buckets
 from .buckets import MIX, SHINGLE_WORDS, THRESHOLD, Sketcher, components, linked_sets, word_hashes
-from .passage_spans import stored, without_passages
-from .texts import free_name, map_texts
+from .passage_units import UNITS, repeated_passages, stored, units_of, without_spans
+from .texts import map_texts
 
 MIN_WORDS = 50
 RECALL = 0.999
-ROWS = 3
+# Two minima a band need the fewest bands, and so the fewest entries, for the recall.
+ROWS = 2
 # Smaller sets are similar at the threshold only if they are equal.
 LEAST_SHINGLES = 4
 WIDTH = 2
@@ -58,9 +60,9 @@ class Paragraphs:
                 words += own
             at += len(line) + 1
         if not words:
-            self.grams = self.first = np.zeros(0, dtype=np.int64)
+            self.grams = self.first = self.h = np.zeros(0, dtype=np.int64)
             return
-        h = word_hashes(words)
+        self.h = h = word_hashes(words)
         count = np.array(counts)
         begin = np.concatenate([[0], np.cumsum(count)[:-1]])
         # Runs of ``size`` words inside a paragraph; a shorter paragraph is one run.
@@ -105,20 +107,24 @@ class Paragraphs:
                 for place, i, n, m in zip(self.places, self.ids(), size, low)]
 
 
-def paragraphs(docs: DataFrame, positions: int, size: int = SHINGLE_WORDS) -> DataFrame:
-    """One row for each paragraph of (doc_id, text)."""
-    schema = T.StructType([T.StructField("paragraphs", T.ArrayType(PARAGRAPH))])
+def read_texts(docs: DataFrame, positions: int, size: int = SHINGLE_WORDS) -> DataFrame:
+    """(doc_id, text_key, paragraphs, units' columns) of (doc_id, text_key, text): all that the search needs, from one reading."""
+    schema = T.StructType([T.StructField("paragraphs", T.ArrayType(PARAGRAPH)), *UNITS.fields])
 
     def make():
         sketch = Sketcher(positions, "<u2")
-        return lambda columns: ((Paragraphs(text, size).rows(sketch),) for text in columns[0])
 
-    return map_texts(docs, ["doc_id"], ["text"], schema, make).select("doc_id", F.explode("paragraphs").alias("p")).select("doc_id", "p.*")
+        def both(text):
+            own = Paragraphs(text, size)
+            return (own.rows(sketch), *units_of((text or "").encode("utf-8", "surrogatepass"), own.h))
+        return lambda columns: map(both, columns[0])
+
+    return map_texts(docs, ["doc_id", "text_key"], ["text"], schema, make)
 
 
 def clusters(docs: DataFrame, found: DataFrame, bands: int, threshold: float, size: int) -> DataFrame:
     """(id, cluster) of every paragraph that occurs or resembles more than once."""
-    classes = cut(found.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("times"),
+    classes = stored(found.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("times"),
                                           F.first("size").alias("size"), F.first("sketch").alias("sketch")))
     items = classes.where("sketch IS NOT NULL").select("id", "size", F.lit(1).cast("long").alias("copies"), "sketch")
     band = [F.xxhash64(F.lit(b), F.substring("sketch", b * ROWS * WIDTH + 1, ROWS * WIDTH)) for b in range(bands)]
@@ -132,44 +138,72 @@ def clusters(docs: DataFrame, found: DataFrame, bands: int, threshold: float, si
             .select("id", F.coalesce("component", "id").alias("cluster")))
 
 
+def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text_key, text) of the rows with an id and a text; text_key is the text's xxhash64."""
+    return (docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+            .where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("text_key", F.xxhash64("text")))
+
+
+def repeated_lines(slim: DataFrame, read: DataFrame, threshold: float, size: int, min_words: int, bands: int) -> DataFrame:
+    """(doc_id, text_key, paragraph, start, end, n_words, first_doc_id, first_paragraph) of the lines to remove."""
+    found = read.select("doc_id", "text_key", F.explode("paragraphs").alias("p")).select("doc_id", "text_key", "p.*")
+    groups = clusters(slim, found.drop("text_key", "place", "start", "end", "n_words"), bands, threshold, size)
+    again = stored(found.drop("sketch", "size").join(groups, "id").drop("id"))
+    firsts = again.groupBy("cluster").agg(F.min(F.struct("doc_id", "number")).alias("first"))
+    repeats = (again.join(firsts, "cluster").where("struct(doc_id, number) != first").drop("cluster")
+               .dropDuplicates(["doc_id", "text_key", "number"]))
+    by_text = Window.partitionBy("doc_id", "text_key")
+    runs = repeats.withColumn("run", F.col("place") - F.row_number().over(by_text.orderBy("place")))
+    together = F.sum("n_words").over(Window.partitionBy("doc_id", "text_key", "run"))
+    return (runs.withColumn("together", together).where(F.col("together") >= min_words)
+            .select("doc_id", "text_key", F.col("number").alias("paragraph"), "start", "end", "n_words",
+                    F.col("first.doc_id").alias("first_doc_id"), F.col("first.number").alias("first_paragraph")))
+
+
 def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE_WORDS, min_words: int = MIN_WORDS,
                         recall: float = RECALL, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each paragraph to remove: doc_id, paragraph (line number from 0),
+    """One row for each line to remove: doc_id, paragraph (line number from 0),
     start and end (code points), n_words, first_doc_id and first_paragraph (where the passage stays).
 
-    Of a cluster of similar paragraphs the first by (doc_id, line) stays.
+    Of a cluster of similar lines the first by (doc_id, line) stays.
     Repeated input rows count as one document.  Rows with a null id or text,
     and texts without words, have nothing to remove.  Other columns are ignored.
     An empty table gives an empty result.
     """
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL")
-    bands = bands_for(threshold, recall)
-    found = cut(paragraphs(slim, bands * ROWS, size))
-    groups = clusters(slim, found.drop("place", "start", "end", "n_words"), bands, threshold, size)
-    again = cut(found.drop("sketch", "size").join(groups, "id").drop("id"))
-    firsts = again.groupBy("cluster").agg(F.min(F.struct("doc_id", "number")).alias("first"))
-    repeats = (again.join(firsts, "cluster").where("struct(doc_id, number) != first").drop("cluster")
-               .dropDuplicates(["doc_id", "number"]))
-    by_doc = Window.partitionBy("doc_id")
-    runs = repeats.withColumn("run", F.col("place") - F.row_number().over(by_doc.orderBy("place")))
-    return (runs.withColumn("together", F.sum("n_words").over(Window.partitionBy("doc_id", "run"))).where(F.col("together") >= min_words)
-            .select("doc_id", F.col("number").alias("paragraph"), "start", "end", "n_words",
-                    F.col("first.doc_id").alias("first_doc_id"), F.col("first.number").alias("first_paragraph")))
+    slim, bands = keyed_texts(docs, id_col, text), bands_for(threshold, recall)
+    read = stored(read_texts(slim, bands * ROWS, size).drop(*UNITS.names))
+    return repeated_lines(slim, read, threshold, size, min_words, bands).drop("text_key")
+
+
+def removals(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE_WORDS, min_words: int = MIN_WORDS,
+             recall: float = RECALL, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each line and each passage inside lines to remove: doc_id, text_key (xxhash64 of the text), paragraph
+    (line number from 0, null for a passage), start and end (code points), n_words, first_doc_id and first_paragraph.
+
+    What a cluster of similar lines, or a run of equal words, has first by
+    (doc_id, place) stays.  A line and a passage may name the same words.
+    An id with several texts is a document for each.  Otherwise as
+    ``repeated_paragraphs``.
+    """
+    slim, bands = keyed_texts(docs, id_col, text), bands_for(threshold, recall)
+    read = stored(read_texts(slim, bands * ROWS, size))
+    lines = repeated_lines(slim, read.drop(*UNITS.names), threshold, size, min_words, bands)
+    names = UNITS.names
+    units = (read.select("doc_id", "text_key", F.explode(F.arrays_zip(*names)).alias("u"))
+             .select("doc_id", "text_key", F.col("u.hashes").alias("hash"), *[F.col(f"u.{c}").alias(c) for c in names[1:]]))
+    passages = repeated_passages(slim, units, min_words)
+    return lines.unionByName(passages.withColumns({c: F.lit(None).cast("int") for c in ("paragraph", "first_paragraph")}))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated paragraphs, and then the repeated passages inside what is left
-    (``passage_spans``), cut out of ``text`` and ``n_chars`` adjusted.
+    """``docs`` with the repeated lines and passages of ``removals`` cut out of ``text`` and ``n_chars`` adjusted.
 
-    Documents of which no word is left go; so do those that had none.  Rows
-    without an id keep their text.
+    A line goes with its line end.  Documents of which no word is left go; so do
+    those that had none.  Rows without an id keep their text.  Repeated rows are
+    cut alike and all stay.  An empty table stays empty.
     """
-    drop, key = free_name(docs, "drop"), free_name(docs, "key")
-    gone = repeated_paragraphs(docs).groupBy("doc_id").agg(F.collect_set("paragraph").alias(drop)).withColumnRenamed("doc_id", key)
-    lines = F.split("text", "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(drop, i)), "\n")
-    whole = docs.join(gone, F.col("doc_id") == F.col(key), "left").withColumn("text", F.when(F.col(drop).isNull(), F.col("text")).otherwise(kept))
-    cleaned = without_passages(stored(whole.select(*[F.col(f"`{c}`") for c in docs.columns])))
+    gone = removals(docs).select("doc_id", "text_key", "start", (F.col("end") + F.col("paragraph").isNotNull().cast("long")).alias("end"))
+    cleaned = without_spans(docs, gone)
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return cleaned.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import (html_text, license_scan, merkle, mixing, ngram_join, oracles, packing, passage_dedup, passage_spans,
+from . import (html_text, license_scan, merkle, mixing, ngram_join, oracles, packing, passage_dedup,
                quality_model, quality_rules, token_counts, token_files, vector_dedup, whitening)
 from .texts import table
 from .tokens import tokenizer_path
@@ -17,7 +17,7 @@ SQL: dict[str, str] = {
     "op1_ngram_join": oracles.NGRAM_JOIN_SQL,
     "op2_mix_sources": mixing.MIX_SQL,
     "op5_vector_dedup": oracles.VECTOR_DEDUP_SQL,
-    "op7_passage_dedup": oracles.PASSAGE_DEDUP_SQL,
+    "op7_repeated_lines": oracles.PASSAGE_DEDUP_SQL,
     "op9_quality_rules": oracles.quality_sql(),
     "op13_merkle_manifest": merkle.MANIFEST_SQL,
 }
@@ -60,12 +60,13 @@ def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passage_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))
+    return passage_dedup.removals(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 @query
-def op7_passage_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passage_spans.repeated_passages(table(spark, sf_dir, "documents"))
+def op7_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of ``op7_passage_dedup`` alone, which SQL can say."""
+    return passage_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))
 
 
 @query
