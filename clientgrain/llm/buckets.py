@@ -31,22 +31,31 @@ BLOCK = 256
 SLACK = 5.0
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
-_known_words: dict[bytes, int] = {}
-KNOWN_WORDS = 200_000
+# Any odd number has an inverse among the 64-bit numbers.
+BASE = np.uint64(0xD1342543DE82EF95)
+INVERSE = np.uint64(pow(int(BASE), -1, 2 ** 64))
+# A random number for each byte; sums of these, shifted by place, tell words apart.
+BYTE_CODES = np.random.default_rng(20240607).integers(0, 2**64, 256, dtype=np.uint64)
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    out = values * MIX
+    return (out ^ (out >> np.uint64(29))) * MIX
+
+
+def run_hashes(codes: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs ``codes[first:stop]``, all from the same running sums."""
+    power = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(codes), BASE)]))
+    back = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(codes), INVERSE)]))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(codes * power[:-1], dtype=np.uint64)])
+    return mixed((sums[stop] - sums[first]) * back[first] + (stop - first).astype(np.uint64))
 
 
 def word_hashes(words: Sequence[bytes]) -> np.ndarray:
-    """64-bit hashes of words; a worker remembers those it has seen."""
-    known = _known_words
-    if len(known) > KNOWN_WORDS:
-        known.clear()
-    try:
-        return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-    except KeyError:
-        for w in set(words):
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+    """64-bit hashes of words, made of their bytes all at once."""
+    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    stop = np.cumsum(size)
+    return run_hashes(BYTE_CODES[np.frombuffer(b"".join(words), dtype=np.uint8)], stop - size, stop)
 
 
 def shingles(words: Sequence[bytes], size: int = SHINGLE_WORDS) -> np.ndarray:

@@ -65,21 +65,38 @@ class Paragraphs:
         self.h = h = word_hashes(words)
         count = np.array(counts)
         begin = np.concatenate([[0], np.cumsum(count)[:-1]])
+        line = np.repeat(np.arange(len(count)), count)
         # Runs of ``size`` words inside a paragraph; a shorter paragraph is one run.
-        owner = np.repeat(np.arange(len(count)), np.maximum(1, count - size + 1))
-        first = np.concatenate([[0], np.cumsum(np.maximum(1, count - size + 1))[:-1]])
-        start = begin[owner] + np.arange(len(owner)) - first[owner]
-        run = np.minimum(size, count)[owner].astype(np.uint64)
-        for i in range(size):
-            inside = i < count[owner]
-            following = (run ^ h[np.minimum(start + i, len(h) - 1)]) * MIX
-            following ^= following >> np.uint64(29)
-            run = np.where(inside, following, run)
-        order = np.lexsort((run, owner))
-        run, owner = run[order], owner[order]
+        runs, owners = [], []
+        for words_in_run, starts in [(size, None), *[(c, begin[count == c]) for c in range(1, size) if (count == c).any()]]:
+            n = max(0, len(h) - size + 1)
+            own = line[:n] if starts is None else line[starts]
+            run = np.full(len(own), words_in_run, dtype=np.uint64)
+            for i in range(words_in_run):
+                run = (run ^ (h[i:i + n] if starts is None else h[starts + i])) * MIX
+                run ^= run >> np.uint64(29)
+            whole = own == line[size - 1:] if starts is None else slice(None)
+            runs.append(run[whole])
+            owners.append(own[whole])
+        run, owner = np.concatenate(runs), np.concatenate(owners)
+        if len(runs) > 1:
+            order = np.argsort(owner, kind="stable")
+            run, owner = run[order], owner[order]
+        first = np.searchsorted(owner, np.arange(len(count)))
+        self.grams, self.first, self.owner, self.count = run, first, owner, count
+        low = np.sort(run)
+        if (low[1:] == low[:-1]).any():
+            self.order()
+
+    def order(self) -> None:
+        """Puts each set in ascending order, without repeats."""
+        if not self.places:
+            return
+        order = np.lexsort((self.grams, self.owner))
+        run, owner = self.grams[order], self.owner[order]
         new = np.concatenate([[True], (run[1:] != run[:-1]) | (owner[1:] != owner[:-1])])
-        self.grams, owner = run[new], owner[new]
-        self.first = np.searchsorted(owner, np.arange(len(count)))
+        self.grams, self.owner = run[new], owner[new]
+        self.first = np.searchsorted(self.owner, np.arange(len(self.count)))
 
     def ids(self) -> np.ndarray:
         """Two sums over each set, as 16 bytes."""
@@ -91,6 +108,7 @@ class Paragraphs:
     def sets(self) -> list[tuple[bytes, np.ndarray]]:
         if not self.places:
             return []
+        self.order()
         last = [*self.first[1:].tolist(), len(self.grams)]
         return [(i.tobytes(), self.grams[a:b]) for i, a, b in zip(self.ids(), self.first.tolist(), last)]
 

@@ -22,19 +22,15 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..session import broadcast_if_small, cut, scratch_path
-from .buckets import MIX, word_hashes
+from .buckets import MIX, mixed, run_hashes, word_hashes
 from .texts import free_name, small_batches
 
 MIN_WORDS = 50
 # One word in so many begins a piece.
 EVERY = 8
 LEAST_WORDS = 12
-# Words that the ends of a whole passage are followed beyond its first and last unit.
-EDGE = 3 * EVERY
-# Any odd number has an inverse among the 64-bit numbers.
-BASE = np.uint64(0xD1342543DE82EF95)
-INVERSE = np.uint64(pow(int(BASE), -1, 2 ** 64))
-
+# How many words a whole passage is looked at beyond its first and last unit.
+EDGES = (0, 1, 2, 3, 4, 6, 8, 11, 15, 20, 26)
 UNITS = T.StructType([T.StructField("hashes", T.ArrayType(T.LongType())), *[T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("at", "n", "start", "end")]])
 
 
@@ -45,11 +41,6 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def mixed(values: np.ndarray) -> np.ndarray:
-    out = values * MIX
-    return (out ^ (out >> np.uint64(29))) * MIX
-
-
 def word_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Where each word of UTF-8 bytes starts and ends, in code points."""
     raw = np.frombuffer(data, dtype=np.uint8)
@@ -59,18 +50,6 @@ def word_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return points[edge[::2]], points[edge[1::2]]
 
 
-def prefix_sums(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums from which the hash of any run of words follows."""
-    power = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(h), BASE)]))
-    back = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(h), INVERSE)]))
-    return np.concatenate([[np.uint64(0)], np.cumsum(mixed(h) * power[:-1], dtype=np.uint64)]), back
-
-
-def run_hashes(h: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    sums, back = prefix_sums(h)
-    return mixed((sums[stop] - sums[first]) * back[first] + (stop - first).astype(np.uint64))
-
-
 def units_of(data: bytes, h: np.ndarray) -> tuple:
     """(hash, first word, words, start, end) of each unit, as lists."""
     none = np.zeros(0, dtype=np.int32)
@@ -80,7 +59,7 @@ def units_of(data: bytes, h: np.ndarray) -> tuple:
     end = np.searchsorted(cuts, cuts + LEAST_WORDS)
     first, stop = cuts[end < len(cuts)], cuts[end[end < len(cuts)]]
     begins, ends = word_places(data)
-    return (run_hashes(h, first, stop).view(np.int64), first.astype(np.int32), (stop - first).astype(np.int32),
+    return (run_hashes(mixed(h), first, stop).view(np.int64), first.astype(np.int32), (stop - first).astype(np.int32),
             begins[first].astype(np.int32), ends[stop - 1].astype(np.int32))
 
 
@@ -94,7 +73,7 @@ def windows_at(text: str, ranges: list, size: int) -> list[np.ndarray]:
         wanted[max(0, low):max(0, high + 1)] = True
     first = np.nonzero(wanted)[0]
     begins, ends = word_places(data)
-    return [run_hashes(h, first, first + size).view(np.int64), *[c.astype(np.int32) for c in (first, begins[first], ends[first + size - 1])]]
+    return [run_hashes(mixed(h), first, first + size).view(np.int64), *[c.astype(np.int32) for c in (first, begins[first], ends[first + size - 1])]]
 
 
 def place() -> Column:
@@ -151,8 +130,7 @@ def repeated_passages(texts: DataFrame, units: DataFrame, min_words: int = MIN_W
     whole = (n_words >= min_words) & ~(own & (F.col("shift") < n_words))
     # Windows that hold a unit of a short run, and those that reach beyond the ends of a whole passage.
     inside = F.array(F.struct((F.col("least_stop") - min_words).alias("low"), F.col("high").alias("high")))
-    ends = F.array(F.struct((F.col("at") - EDGE).alias("low"), F.col("at").alias("high")),
-                   F.struct((F.col("stop") - min_words).alias("low"), (F.col("stop") - min_words + EDGE).alias("high")))
+    ends = F.array(*[F.struct(at.alias("low"), at.alias("high")) for e in EDGES for at in (F.col("at") - e, F.col("stop") - min_words + e)])
     sought = runs.select("*", F.explode(F.when(whole, ends).otherwise(inside)).alias("r"))
     around = (sought.select("doc_id", "text_key", "r.low", "r.high")
               .unionByName(sought.select(F.col("first_doc").alias("doc_id"), F.col("first_key").alias("text_key"),

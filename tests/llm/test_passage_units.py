@@ -49,7 +49,7 @@ def check(docs, rows, share):
     for k, own in got.items():
         assert own <= want[k]
     assert len(got) >= share * len(want)
-    # Ends of passages farther than EDGE words from a unit stay.
+    # Some words at the ends of passages stay, as EDGES has gaps.
     assert sum(map(len, got.values())) >= min(share, 0.9) * sum(map(len, want.values()))
     return want
 
@@ -146,5 +146,5 @@ def test_run_hashes_tell_runs_apart():
     h = passage_dedup.Paragraphs("a b c a b c b a c a b").h
     assert [w.decode() for w in words_of("a b c a b c b a c a b")][:3] == ["a", "b", "c"]
     first = np.array([0, 3, 1, 6, 0, 9])
-    out = passage_units.run_hashes(h, first, first + np.array([3, 3, 3, 3, 2, 2]))
+    out = passage_units.run_hashes(passage_units.mixed(h), first, first + np.array([3, 3, 3, 3, 2, 2]))
     assert out[0] == out[1] and out[4] == out[5] and len(set(out.tolist())) == 4
