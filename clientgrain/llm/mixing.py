@@ -29,16 +29,17 @@ STEP_BITS = 12
 HASH_BITS = 60
 
 
-def doc_hash(doc_id: Column) -> Column:
-    """60 bits of the MD5 of the id's decimal text; any engine can compute it.  A null id hashes as ''."""
-    return F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
+def doc_hash(doc_id: Column, text: Column) -> Column:
+    """60 bits of the MD5 of the id's decimal text, a colon and the text; any engine can compute it.  Null is ''."""
+    parts = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(parts.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """(doc_id, source, size, hash): the words of each whole text."""
     return docs.select(F.col(id_col).alias("doc_id"), F.col(source).alias("source"),
                        F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORDS)), F.lit(0)).cast("long").alias("size"),
-                       doc_hash(F.col(id_col)).alias("hash"))
+                       doc_hash(F.col(id_col), F.col(text)).alias("hash"))
 
 
 def weighted_sources(sizes: DataFrame, weights: Sequence[float]) -> DataFrame:
@@ -119,8 +120,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     """One row for each input row: doc_id, size, source_size, target, copies, taken.
 
     A null source is a source of its own, the last.  A null or empty text has
-    size 0 and takes nothing.  Rows with the same id share a hash and are taken
-    together.  Other columns are ignored.  An empty table gives an empty result.
+    size 0 and takes nothing.  Rows with the same id and text share a hash and
+    are taken together; other rows with one id, or without, each have their own.
+    Other columns are ignored.  An empty table gives an empty result.
     """
     sizes = cut(sized(docs, id_col, text, source))
     limits = thresholds(sizes, with_targets(weighted_sources(sizes, weights), share, most)).withColumnRenamed("source", "key")
@@ -131,11 +133,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
                weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST_REPEATS) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, unchanged; texts without words go."""
+    """The rows of ``docs`` as often as the mix takes them, unchanged; texts without words go.
+
+    Repeated rows, null ids, texts and sources as in ``mix``; an empty table stays empty.
+    """
     sizes = cut(sized(docs, id_col, text, source))
     limits = (thresholds(sizes, with_targets(weighted_sources(sizes, weights), share, most)).select("source", "repeats", "upto"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(source).alias("own"),
-                       doc_hash(F.col(id_col)).alias("hash"), F.col(text).cast("string").rlike(r"[^\x20\x09-\x0D]").alias("worded"))
+                       doc_hash(F.col(id_col), F.col(text)).alias("hash"), F.col(text).cast("string").rlike(r"[^\x20\x09-\x0D]").alias("worded"))
     taken = (rows.where("worded").join(broadcast_if_small(limits, limits.count()), F.col("own").eqNullSafe(F.col("source")))
              .withColumn("copies", (F.col("repeats") + (F.col("hash") <= F.col("upto")).cast("long")).cast("int")))
     return (taken.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*"))
@@ -144,7 +149,7 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sour
 MIX_SQL = r"""
 WITH sizes AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15)) AS BIGINT) AS hash
+         CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15)) AS BIGINT) AS hash
   FROM documents),
 totals AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

@@ -86,17 +86,21 @@ def quality_sql() -> str:
     def of(cell: str) -> str:
         return f"(exp(({cell} + 0.5) * {math.log(rules.GROWTH)!r}) - 1) / {rules.RESOLUTION}"
 
-    def fences(keys: str) -> str:
+    def level(keys: str) -> str:
         by = f"PARTITION BY {keys + ', ' if keys else ''}m"
-        return (f"SELECT {keys + ', ' if keys else ''}m, total, {of('low')} - {rules.REACH} * greatest({of('high')} - ({of('low')}), {spread}) AS least, "
-                f"{of('high')} + {rules.REACH} * greatest({of('high')} - ({of('low')}), {spread}) AS most FROM (SELECT {keys + ', ' if keys else ''}m, any_value(total) AS total, "
+        return (f"SELECT {keys + ', ' if keys else ''}m, n, {of('low')} AS q1, {of('high')} AS q3 FROM (SELECT {keys + ', ' if keys else ''}m, any_value(total) AS n, "
                 f"min(CASE WHEN upto >= ceil(total * 0.25) THEN cell END) AS low, min(CASE WHEN upto >= ceil(total * 0.75) THEN cell END) AS high "
                 f"FROM (SELECT *, sum(1) OVER ({by} ORDER BY cell) AS upto, count(*) OVER ({by}) AS total FROM cells) GROUP BY {keys + ', ' if keys else ''}m)")
+
+    def shrunk(n: str, own: str, above: str) -> str:
+        return f"(({n} * {own} + {rules.WEIGHT} * {above}) / ({n} + {rules.WEIGHT}))"
+    q1, q3 = (shrunk("f.n", f"f.{q}", shrunk("c.n", f"c.{q}", f"w.{q}")) for q in ("q1", "q3"))
+    drawn = (f"SELECT lang, source, m, low - {rules.REACH}::DOUBLE * greatest(high - low, spread) AS least, high + {rules.REACH}::DOUBLE * greatest(high - low, spread) AS most "
+             f"FROM (SELECT f.lang, f.source, f.m, {q1} AS low, {q3} AS high, {spread.replace('CASE m', 'CASE f.m').replace('END', 'END::DOUBLE')} AS spread "
+             "FROM fine f JOIN coarse c ON f.m = c.m AND f.lang IS NOT DISTINCT FROM c.lang JOIN whole w ON w.m = f.m)")
     inside = " AND ".join(
-        f"coalesce((SELECT CASE WHEN f.total >= {rules.MIN_GROUP} THEN f.most WHEN c.total >= {rules.MIN_GROUP} THEN c.most ELSE w.most END >= {value[m.name]}"
-        + (f" AND CASE WHEN f.total >= {rules.MIN_GROUP} THEN f.least WHEN c.total >= {rules.MIN_GROUP} THEN c.least ELSE w.least END <= {value[m.name]}" if m.both else "")
-        + f" FROM fine f JOIN coarse c ON f.m = {i} AND c.m = {i} AND f.lang IS NOT DISTINCT FROM c.lang JOIN whole w ON w.m = {i} "
-          "WHERE f.lang IS NOT DISTINCT FROM counted.lang AND f.source IS NOT DISTINCT FROM counted.source), true)"
+        f"coalesce((SELECT most >= {value[m.name]}" + (f" AND least <= {value[m.name]}" if m.both else "")
+        + f" FROM limits l WHERE l.m = {i} AND l.lang IS NOT DISTINCT FROM counted.lang AND l.source IS NOT DISTINCT FROM counted.source), true)"
         for i, m in enumerate(rules.MEASURES))
     return rf"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
@@ -113,6 +117,6 @@ counted AS (SELECT w.rid, w.doc_id, lang, source, CAST(len(words) AS BIGINT) AS
     CAST(coalesce(l.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(l.n - l.d, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
   FROM worded w LEFT JOIN lines l ON w.rid = l.rid LEFT JOIN covered c ON w.rid = c.rid),
 cells AS ({cells}),
-fine AS ({fences('lang, source')}), coarse AS ({fences('lang')}), whole AS ({fences('')})
+fine AS ({level('lang, source')}), coarse AS ({level('lang')}), whole AS ({level('')}), limits AS ({drawn})
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {failed} AS base_failed, NOT {failed} AND {inside} AS kept FROM counted
 """

@@ -4,8 +4,9 @@ Nobody knows a good cutoff for every source beforehand.  Each measure (symbols
 per word, repeated lines, repeated words, word length) is summed up in a
 quantile sketch for each (language, source): counts of logarithmic cells, which
 merge by adding.  A text is refused if a measure lies outside the fence
-``quartile +/- REACH * spread`` of its group.  Groups with few texts take the
-merged sketch of their language, small languages the sketch of everything.
+``quartile +/- REACH * spread`` of its group.  The quartiles of a group of n texts
+are drawn towards those of its language, and a language's towards those of
+everything: their own weigh ``n / (n + WEIGHT)``, at every size.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ MIN_WORDS = 50
 GROWTH = 1.02
 # The sketch counts ln(1 + RESOLUTION * value); smaller values share the first cells.
 RESOLUTION = 1000.0
-# Groups below this size take the thresholds of the level above.
-MIN_GROUP = 200
+# As many texts weigh as much as the level above.
+WEIGHT = 200
 REACH = 3.0
 
 BASE = T.StructType([T.StructField(n, T.LongType()) for n in
@@ -141,25 +142,26 @@ def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
             .agg(pick[0.25].alias("low"), pick[0.75].alias("high"), F.first("total").alias("total")))
 
 
-def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """One row for each group: its size and the lowest and highest accepted value of each measure."""
-    q = quartiles(sketch, keys).select(*keys, "measure", "total", cell_value(F.col("low")).alias("q1"), cell_value(F.col("high")).alias("q3"))
-    return (q.groupBy(*keys).agg(F.max("total").alias("total"), *[
-        a for i, m in enumerate(MEASURES)
-        for a in (F.max(F.when(F.col("measure") == i, F.col("q1") - REACH * F.greatest(F.col("q3") - F.col("q1"), F.lit(m.least_spread)))).alias(f"least{i}"),
-                  F.max(F.when(F.col("measure") == i, F.col("q3") + REACH * F.greatest(F.col("q3") - F.col("q1"), F.lit(m.least_spread)))).alias(f"most{i}"))]))
+def shrunk(n: Column, own: Column, above: Column) -> Column:
+    return (n * own + WEIGHT * above) / (n + WEIGHT)
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
-    """Fences for each (lang, source), from the finest level with ``MIN_GROUP`` texts."""
-    names = [f"{side}{i}" for i in range(len(MEASURES)) for side in ("least", "most")]
-    fine, coarse, whole = (fences(sketch, keys) for keys in (["lang", "source"], ["lang"], []))
-    rest = whole.first() or {}  # one row: the fences of everything
-    coarse = coarse.select(F.col("lang").alias("c_lang"), F.col("total").alias("c_total"), *[F.col(n).alias(f"c_{n}") for n in names])
-    joined = fine.join(coarse, F.col("lang").eqNullSafe(F.col("c_lang")), "left")
-    return joined.select("lang", "source", *[
-        F.when(F.col("total") >= MIN_GROUP, F.col(n)).when(F.col("c_total") >= MIN_GROUP, F.col(f"c_{n}"))
-        .otherwise(F.lit(rest[n] if rest else None)).alias(n) for n in names])
+    """(lang, source, least0, most0, ...): the lowest and highest accepted value of each measure in each group."""
+    def level(keys: list[str], prefix: str) -> DataFrame:
+        return quartiles(sketch, keys).select(*[F.col(k).alias(f"{prefix}{k}") for k in keys], F.col("measure").alias(f"{prefix}measure"), F.col("total").alias(f"{prefix}n"),
+                                              cell_value(F.col("low")).alias(f"{prefix}q1"), cell_value(F.col("high")).alias(f"{prefix}q3"))
+    # One row for each measure.
+    whole = {r["w_measure"]: r for r in level([], "w_").collect()}
+
+    def of_all(name: str) -> Column:
+        return F.coalesce(*[F.when(F.col("measure") == i, F.lit(r[name])) for i, r in whole.items()]) if whole else F.lit(None).cast("double")
+    joined = level(["lang", "source"], "").join(level(["lang"], "c_"), F.col("lang").eqNullSafe(F.col("c_lang")) & (F.col("measure") == F.col("c_measure")))
+    q1, q3 = (shrunk(F.col("n"), F.col(q), shrunk(F.col("c_n"), F.col(f"c_{q}"), of_all(f"w_{q}"))) for q in ("q1", "q3"))
+    spread = F.coalesce(*[F.when(F.col("measure") == i, F.lit(m.least_spread)) for i, m in enumerate(MEASURES)])
+    wide = F.lit(REACH) * F.greatest(F.col("high") - F.col("low"), spread)
+    drawn = joined.select("lang", "source", "measure", q1.alias("low"), q3.alias("high")).select("lang", "source", "measure", (F.col("low") - wide).alias("least"), (F.col("high") + wide).alias("most"))
+    return drawn.groupBy("lang", "source").agg(*[F.max(F.when(F.col("measure") == i, F.col(side))).alias(f"{side}{i}") for i in range(len(MEASURES)) for side in ("least", "most")])
 
 
 def judge(measured: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
@@ -195,7 +197,11 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text: str = "text", l
 
 
 def kept_rows(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, unchanged, whatever their columns are called."""
+    """The rows of ``docs`` that the rules keep, unchanged, whatever their columns are called.
+
+    Repeated rows are judged alike and come as often as they came.  Otherwise as
+    ``quality_rules``; an empty table stays empty.
+    """
     keys = [F.col(lang).alias("lang"), F.col(source).alias("source"), F.col(text).alias("text")]
     limits = cut(thresholds(sketches(cut(measure(docs.select(*keys), ["lang", "source"])), "lang", "source")))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *keys)

@@ -46,3 +46,10 @@ def test_mixed_rows_come_as_often_as_taken(spark):
     want = mixing.mix(docs).groupBy("doc_id").sum("copies").where("`sum(copies)` > 0").collect()
     got = rows.groupBy("doc_id").count().collect()
     assert {tuple(r) for r in got} == {tuple(r) for r in want}
+
+
+def test_rows_without_id_are_taken_one_by_one(spark):
+    rows = [(None if s == "a" else i, f"text {i} of ten words in all which are enough here", s) for s in "abc" for i in range(200)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(1, 1, 1), share=0.8)
+    taken = out.where("doc_id IS NULL").agg({"taken": "sum", "target": "max"}).first()
+    assert abs(taken["sum(taken)"] - taken["max(target)"]) <= 10

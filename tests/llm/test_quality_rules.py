@@ -17,7 +17,7 @@ def plain_counts(text):
 
 
 def plain_verdicts(rows):
-    """The rule by its definition: nearest-rank quartiles of cells, finest group that is large enough."""
+    """The rule by its definition: nearest-rank quartiles of cells, each level's drawn towards the one above."""
     counts = [plain_counts(r[1]) for r in rows]
     values = []
     for n, chars, symbols, lines, dup, rep in counts:
@@ -29,17 +29,22 @@ def plain_verdicts(rows):
             for k in ((r[2], r[3]), (r[2],), ()):
                 groups[k].append(v)
 
-    def fence(key, i):
+    def quartiles(key, i):
         cells = sorted(math.floor(math.log1p(v[i] * 1000) / math.log(q.GROWTH)) for v in groups[key])
-        low, high = (cells[math.ceil(len(cells) * p) - 1] for p in (0.25, 0.75))
-        low, high = (math.expm1((c + 0.5) * math.log(q.GROWTH)) / 1000 for c in (low, high))
+        own = [math.expm1((cells[math.ceil(len(cells) * p) - 1] + 0.5) * math.log(q.GROWTH)) / 1000 for p in (0.25, 0.75)]
+        if not key:
+            return own
+        n = len(cells)
+        return [(n * a + q.WEIGHT * b) / (n + q.WEIGHT) for a, b in zip(own, quartiles(key[:-1], i))]
+
+    def fence(key, i):
+        low, high = quartiles(key, i)
         wide = q.REACH * max(high - low, q.MEASURES[i].least_spread)
         return (low - wide if q.MEASURES[i].both else -math.inf), high + wide
 
     out = []
     for r, v, f, c in zip(rows, values, failed, counts):
-        key = next((k for k in ((r[2], r[3]), (r[2],)) if len(groups[k]) >= q.MIN_GROUP), ())
-        out.append((r[0], *c[:3], c[4], c[5], f, not f and all(a <= x <= b for x, (a, b) in zip(v, (fence(key, i) for i in range(4))))))
+        out.append((r[0], *c[:3], c[4], c[5], f, not f and all(a <= x <= b for x, (a, b) in zip(v, (fence((r[2], r[3]), i) for i in range(4))))))
     return out
 
 
@@ -52,8 +57,7 @@ def test_awkward_rows(spark):
     assert sorted(got, key=key) == sorted(plain_verdicts(awkward_rows()), key=key)
 
 
-def test_same_as_the_definition(spark, monkeypatch):
-    monkeypatch.setattr(q, "MIN_GROUP", 20)  # so that all three levels are used
+def test_same_as_the_definition(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(r.doc_id, r.text, r.lang, r.source) for r in docs.collect()]
     got = [tuple(r) for r in q.quality_rules(docs).collect()]
@@ -74,6 +78,17 @@ def test_junk_goes_and_prose_stays(spark):
     assert all(got[d] == (d < 1000) for d in got)
 
 
+def test_a_small_group_has_a_say(spark, monkeypatch):
+    """Texts that are usual in their small source and odd elsewhere: the weight decides, not a least size."""
+    rows = [(i, " ".join(f"{'abcdef'[:3 + (i + k) % 4]}{k}" for k in range(80)), "en", "wide", 1) for i in range(300)]
+    rows += [(1000 + i, " ".join(f"abcdefghijklmnop{k:03d}" for k in range(80)) + f" {i}", "en", "narrow", 1) for i in range(60)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    for weight, kept in ((1, True), (10**9, False)):
+        monkeypatch.setattr(q, "WEIGHT", weight)
+        verdicts = {r.doc_id: r.kept for r in q.quality_rules(docs).collect()}
+        assert all(verdicts[1000 + i] == kept for i in range(60)) and all(verdicts[i] for i in range(300))
+
+
 def test_empty(spark):
     assert q.quality_rules(none(spark)).collect() == []
     assert q.kept_rows(none(spark)).collect() == []
