@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 
@@ -14,8 +15,13 @@ ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'
 SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
-# Their content is no text of the page.
-RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "textarea", "select", "title", "head"}
+# Their content is no text of the page.  Without an end tag, that of the first two lasts to the end of the page, that of the others is read on.
+RAW = {"script", "style", "title", "textarea", "select"}
+TO_THE_END = {"script", "style"}
+# Elements that may stand inside a sentence and whose content is read where it stands.
+EMBEDDED = {"noscript", "iframe", "object", "canvas", "video", "audio", "svg", "math"}
+# Inside these all tags are part of the line, but for the tags of HTML that a page uses behind an unclosed one.
+FOREIGN = {"svg", "math"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark",
           "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "ruby", "rt", "rp"}
@@ -23,7 +29,9 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"ul", "ol", "dl", "table", "tbody", "thead", "div", "section", "article", "main", "aside", "nav", "body", "form"}
 PLACES = {"article", "main", "nav", "footer", "header", "aside", "form", "section", "div", "ul", "ol", "li", "table", "td", "p", "h1", "h2",
-          "h3", "h4", "blockquote", "pre", "figure", "figcaption", "button", "label", "fieldset", "details", "address", "menu", "dialog", "dl"}
+          "h3", "h4", "blockquote", "pre", "figure", "figcaption", "button", "label", "fieldset", "details", "address", "menu", "dialog", "dl",
+          "template", *EMBEDDED}
+BREAKS_OUT = PLACES - EMBEDDED - {"label"} | {"body", "br", "center", "dd", "dt", "h5", "h6", "hr", "tbody", "thead", "tr", "th", "b", "em", "i", "strong", "span", "img"}
 
 # What names in class, id and role say, by the beginning of a word.
 GROUPS = {
@@ -69,11 +77,11 @@ def names_of(attrs: str) -> tuple[set[str], bool]:
 
 
 class Open:
-    """An open element: its tag, the features of its place, and whether it is in a link."""
-    __slots__ = ("tag", "features", "link")
+    """An open element: its tag, the features of its place, whether it is in a link, and whether it is in a formula or drawing."""
+    __slots__ = ("tag", "features", "link", "foreign")
 
-    def __init__(self, tag: str, features: frozenset[str], link: bool) -> None:
-        self.tag, self.features, self.link = tag, features, link
+    def __init__(self, tag: str, features: frozenset[str], link: bool, foreign: bool = False) -> None:
+        self.tag, self.features, self.link, self.foreign = tag, features, link, foreign
 
 
 def opened(above: Open, tag: str, attrs: str) -> Open:
@@ -82,11 +90,11 @@ def opened(above: Open, tag: str, attrs: str) -> Open:
         extra.add(f"in {tag}")
     if attrs and attrs != "/":
         named, hidden = names_of(attrs)
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in FOREIGN and not above.foreign:
             extra |= {f"named {g}" for g in named}
-        if hidden:
+        if hidden and tag not in FOREIGN and not above.foreign:
             extra.add("hidden")
-    return Open(tag, above.features | extra if extra else above.features, above.link or tag == "a")
+    return Open(tag, above.features | extra if extra else above.features, above.link or tag == "a", above.foreign or tag in FOREIGN)
 
 
 def text_features(text: str, n: int, linked: int) -> list[str]:
@@ -106,12 +114,21 @@ def text_features(text: str, n: int, linked: int) -> list[str]:
     return out
 
 
+@functools.cache
+def end_of(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I)
+
+
 def blocks(page: str | None) -> list[tuple[str, list[str]]]:
     """(text, features) of every leaf block with text, in page order.
 
     Character references are decoded and white space inside a block is one
-    space.  Broken markup is read as far as it goes: unclosed elements last to
-    the end of what holds them, unmatched end tags are ignored.
+    space.  Only scripts, styles, titles, text areas and selections are skipped.
+    Formulas, drawings, objects, frames and what stands for scripts are read
+    where they stand, as part of their sentence.  Broken markup is read as far
+    as it goes: unclosed elements last to the end of what holds them, drawings
+    and formulas to the next tag of HTML, scripts and styles to the end of the
+    page; unmatched end tags are ignored.
     """
     if not page:
         return []
@@ -161,26 +178,39 @@ def blocks(page: str | None) -> list[tuple[str, list[str]]]:
         if tag is None:
             continue
         tag, closing, attrs = tag.lower(), m["end"] or m["end2"], m["attrs"] or m["attrs2"] or ""
+        if stack[-1].foreign and tag in BREAKS_OUT and (not closing or any(o.tag == tag and not o.foreign for o in stack)):
+            while stack[-1].foreign:
+                stack.pop()
+        if stack[-1].foreign and tag not in FOREIGN:
+            if tag in RAW and not closing:
+                stop = end_of(tag).search(page, at)
+                at = stop.end() if stop and not attrs.rstrip().endswith("/") else at
+            elif tag in ("text", "tspan", "mtext"):
+                add(" ")
+            continue
+        in_line = tag in INLINE or tag in EMBEDDED
         if closing:
-            if tag not in INLINE:
+            if not in_line:
                 end_block()
             depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            # An inline end tag does not close blocks.
-            if depth and not (tag in INLINE and any(o.tag not in INLINE for o in stack[depth + 1:])):
+            # An inline end tag does not close blocks; that of an embedded element ends what is open in it.
+            if depth and any(o.tag not in INLINE and o.tag not in EMBEDDED for o in stack[depth + 1:]):
+                if tag in INLINE:
+                    continue
+                end_block()
+            if depth:
                 del stack[depth:]
             continue
-        if tag not in INLINE:
+        if not in_line:
             end_block()
-        if tag in VOID:
+        if tag in VOID or tag == "head":
             continue
         if tag in RAW:
-            if tag == "head":
-                continue
-            stop = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            if not attrs.rstrip().endswith("/") or tag in ("script", "style", "title", "textarea"):
+            stop = end_of(tag).search(page, at)
+            if stop or tag in TO_THE_END:
                 at = stop.end() if stop else n
             continue
-        if tag not in INLINE:
+        if not in_line:
             # A block ends an open paragraph; items end items before them.
             ends = ENDS.get(tag, set()) | {"p"}
             for i in range(len(stack) - 1, 0, -1):
@@ -189,6 +219,8 @@ def blocks(page: str | None) -> list[tuple[str, list[str]]]:
                     break
                 if stack[i].tag in SCOPE:
                     break
+        if tag in FOREIGN and attrs.rstrip().endswith("/"):
+            continue
         stack.append(opened(stack[-1], tag, attrs))
     end_block()
     return out

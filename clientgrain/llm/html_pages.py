@@ -42,21 +42,29 @@ class Page:
 
     def block(self, tag: str, text: str, label: int, attrs: str = "", closed: bool = True) -> None:
         shown = html.escape(text, quote=False)
+        if self.r.random() < 0.05:
+            inside, kind = self.words(1, 2), self.r.choice(["math", "noscript", "object", "svg"])
+            held = {"math": f"<math><mi>{inside}</mi></math>", "svg": f'<svg class="icon"><title>no</title><path d="M0"/><text>{inside}</text></svg>'}
+            shown += " " + held.get(kind, f"<{kind}>{inside}</{kind}>")
+            text += f" {inside}"
         if self.r.random() < 0.15 and label:
             shown = f"<{self.r.choice(['b', 'em', 'span', 'strong'])}>{shown}"  # an inline element left open
         self.out.append(f"<{tag}{attrs}>{shown}" + (f"</{tag}>" if closed else ""))
         self.truth.append((text, label))
 
-    def links(self, tag: str, n: int) -> None:
+    def links(self, tag: str, n: int, label: int = 0) -> None:
         self.out.append(f"<{tag}>")
         for _ in range(n):
-            text = self.words(1, 3)
+            text = self.words(1, 12 if label else 3)
             self.out.append(f'<li><a href="/{text}">{html.escape(text)}</a>' + ("</li>" if self.r.random() < 0.8 else ""))
-            self.truth.append((text, 0))
+            self.truth.append((text, label))
         self.out.append(f"</{tag}>")
 
     def box(self, kind: str) -> None:
         r = self.r
+        held = r.choice(["noscript", "iframe", "object", "template"]) if kind in ("advert", "notice", "side") and r.random() < 0.1 else None
+        if held:
+            self.out.append(f"<{held}>")
         semantic = {"menu": "nav", "top": "header", "bottom": "footer", "side": "aside", "form": "form"}.get(kind)
         tag = semantic if semantic and r.random() < 0.6 else r.choice(["div", "section", "div"])
         named = tag not in ("nav", "header", "footer", "aside", "form") or r.random() < 0.4
@@ -86,7 +94,7 @@ class Page:
                 self.block(r.choice(["p", "div", "p"]), self.sentences(1, 4), 0)
             if kind == "side" and r.random() < 0.6:
                 self.links("ul", r.randint(2, 6))
-        self.out.append(f"</{tag}>")
+        self.out.append(f"</{tag}>" + (f"</{held}>" if held else ""))
 
     def article(self) -> None:
         r = self.r
@@ -108,8 +116,15 @@ class Page:
                 self.out.append("</ul>")
             elif kind < 0.9:
                 self.block(r.choice(["blockquote", "pre", "figcaption", "div"]), self.sentences(1, 3), 1)
-            elif kind < 0.93:
+            elif kind < 0.92:
                 self.block("p", self.words(1, 2) + ".", 1)
+            elif kind < 0.94:
+                self.links(r.choice(["ul", "ol"]), r.randint(1, 5), 1)
+            elif kind < 0.955:
+                held = r.choice(["noscript", "object", "canvas", "iframe", "template", "video"])
+                self.out.append(f"<{held}>")
+                self.block("p", self.sentences(1, 3), 1)
+                self.out.append(f"</{held}>")
             else:
                 self.box(r.choice(["advert", "social", "notice", "side", "advert"]))
         if r.random() < 0.15:

@@ -139,7 +139,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url: str = "url", page: s
 
     The text is empty for a null or empty page and for one without an article.
     Pages of any length are read whole; repeated rows give equal rows; null ids
-    and urls are kept.  Other columns are ignored.
+    and urls are kept; an empty table gives an empty result; what unclosed
+    elements give is said in ``blocks``.  Other columns are ignored.
     """
     field = field or trained()
 

@@ -80,3 +80,28 @@ def test_exact_sums_and_decoding():
     want = sum(math.exp(score(y)) * sum(a == 0 and b == 1 for a, b in zip((0, *y), y)) for y in every) / total
     assert abs(moved[0][1] - want) < 1e-9
     assert tuple(field.labels(features)) == max(every, key=score)
+
+
+SENTENCES = [f"Sentence {w} of an article says something, and then says a little more about it." for w in ("one", "two", "three")]
+
+
+@pytest.mark.parametrize("tag", ["svg", "object", "noscript", "math", "iframe", "canvas", "template", "textarea", "select", "title"])
+def test_unclosed_elements_lose_nothing_behind_them(field, tag):
+    page = f"<nav><ul><li><a href=/>Home</a></ul></nav><article><p>{SENTENCES[0]}</p><{tag}><p>{SENTENCES[1]}</p><p>{SENTENCES[2]}</p></article><footer>© nobody</footer>"
+    assert html_text.main_text(field, page) == "\n".join(SENTENCES)
+
+
+def test_formulas_drawings_and_objects_stay_in_their_sentence(field):
+    for shown, text in (("<math><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow></math>", "x=2"), ("<svg class='nav'><title>no</title><path d='M0'/><text>mark</text></svg>", "mark"),
+                        ("<noscript>plain</noscript>", "plain"), ("<object data=a><b>drawn</b></object>", "drawn"), ("<svg/>", ""), ("<canvas></canvas>", "")):
+        page = f"<article><p>{SENTENCES[0]} We see {shown} in the text.</p><p>{SENTENCES[1]}</p></article>"
+        want = f"{SENTENCES[0]} We see {text} in the text.\n{SENTENCES[1]}".replace("  ", " ")
+        assert html_text.main_text(field, page) == want
+
+
+def test_text_in_place_of_scripts_and_linked_items_of_an_article(field):
+    items = ["The first work that the article names", "A second work", "Another long work that is named in it"]
+    page = (f"<div class='menu'><ul><li><a href=/>Home</a><li><a href=/n>News</a></ul></div><article><h1>Title of it</h1><p>{SENTENCES[0]}</p><noscript><p>{SENTENCES[1]}</p></noscript>"
+            f"<ul>{''.join(f'<li><a href=/{i}>{t}</a></li>' for i, t in enumerate(items))}</ul><p>{SENTENCES[2]}</p></article>"
+            "<footer><ul><li><a href=/i>Imprint</a></ul></footer>")
+    assert html_text.main_text(field, page).split("\n") == ["Title of it", *SENTENCES[:2], *items, SENTENCES[2]]
