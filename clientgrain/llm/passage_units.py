@@ -1,8 +1,9 @@
 """Passages of equal words that stand in different surroundings, by content-defined units.
 
 A text is cut before a word wherever a hash of that word and the one before it
-says so, whatever line ends or words stand around.  A unit begins at a cut and
-goes on to the first cut at least ``LEAST_WORDS`` words later.  Units are so
+says so, whatever line ends or words stand around; where a few words recur over and
+over, before each of them, as there may be no such hash among them.  A unit begins at
+a cut and goes on to the first cut at least ``LEAST_WORDS`` words later.  Units are so
 short that one changed word leaves them below the similarity asked for, so their
 band is their whole content.  Units that recur are laid on the first place of
 their content; neighbours with the same shift make a run of equal words.  Runs of
@@ -29,6 +30,8 @@ MIN_WORDS = 50
 # One word in so many begins a piece.
 EVERY = 8
 LEAST_WORDS = 12
+# Up to so many words are seen to recur over and over.
+PERIOD = 8
 # How many words a whole passage is looked at beyond its first and last unit.
 EDGES = (0, 1, 2, 3, 4, 6, 8, 11, 15, 20, 26)
 UNITS = T.StructType([T.StructField("hashes", T.ArrayType(T.LongType())), *[T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("at", "n", "start", "end")]])
@@ -50,12 +53,22 @@ def word_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return points[edge[::2]], points[edge[1::2]]
 
 
+def cuts_of(h: np.ndarray) -> np.ndarray:
+    """The words, by their hashes, before which a text is cut."""
+    pair = mixed(h[:-1]) ^ h[1:]
+    cut_here = pair * MIX >> np.uint64(40) < np.uint64(2 ** 24 // EVERY)
+    for p in range(1, min(PERIOD, (len(pair) - 1) // 2) + 1):
+        same = pair[p:] == pair[:-p]
+        cut_here[2 * p:] |= same[p:] & same[:-p]
+    return np.nonzero(cut_here)[0] + 1
+
+
 def units_of(data: bytes, h: np.ndarray) -> tuple:
     """(hash, first word, words, start, end) of each unit, as lists."""
     none = np.zeros(0, dtype=np.int32)
     if len(h) <= LEAST_WORDS:
         return np.zeros(0, dtype=np.int64), none, none, none, none
-    cuts = np.nonzero((mixed(h[:-1]) ^ h[1:]) * MIX >> np.uint64(40) < np.uint64(2 ** 24 // EVERY))[0] + 1
+    cuts = cuts_of(h)
     end = np.searchsorted(cuts, cuts + LEAST_WORDS)
     first, stop = cuts[end < len(cuts)], cuts[end[end < len(cuts)]]
     begins, ends = word_places(data)

@@ -129,6 +129,12 @@ def test_repeats_in_one_document(spark):
     check(spark.createDataFrame(rows, DOCUMENTS), [(r[0], r[1]) for r in rows], 0.3)
 
 
+def test_few_words_over_and_over(spark):
+    """Runs of one to eight words that recur, whatever their hashes: all but what stands first is found."""
+    rows = [(p, " ".join(f"o{p}v{i}" for i in range(60)) + " " + " ".join(f"r{p}v{i % p}" for i in range(400)), "en", "a", 1) for p in range(1, 9)]
+    check(spark.createDataFrame(rows, DOCUMENTS), [(r[0], r[1]) for r in rows], 1)
+
+
 def test_units_do_not_depend_on_what_stands_around():
     rng = np.random.default_rng(6)
     passage = [f"v{v}" for v in rng.integers(0, 900, 400)]
