@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from .. import contract
 from ..functions.hashing import HEX_DIGITS
 from ..operators import encoders as E
-from ..operators.routing import one_hot_stages
+from ..operators.one_hot import slot_of, wide_one_hot_stages
+from ..operators.routing import fit_stages, one_hot_stages
 from . import query
 from .common import app, rounded, with_roles
 
@@ -123,3 +124,21 @@ def one_hot(spark, sf_dir):
         df = fitted.transform(df)
     slots = vector_to_array("NAME_EDUCATION_TYPE_vec")
     return df.select("SK_ID_CURR", *[slots[i].cast("int").alias(n) for i, n in enumerate(names)])
+
+
+LINE_LABELS = "SELECT l_orderkey * 10 + l_linenumber AS line_id, l_returnflag, CAST(l_orderkey AS VARCHAR(20)) AS in_order, CAST(l_partkey AS VARCHAR(20)) AS part FROM lineitem"
+WIDE = ("in_order", "part")
+
+
+@query(f"WITH t AS ({LINE_LABELS}), "
+       + ", ".join(f"s_{c} AS (SELECT {c}, CAST(row_number() OVER (ORDER BY {c}) - 1 AS BIGINT) AS slot FROM (SELECT DISTINCT {c} FROM t WHERE l_returnflag = 'R'))" for c in WIDE)
+       + " SELECT line_id, " + ", ".join(f"s_{c}.slot AS {c}_slot, (SELECT count(*) FROM s_{c}) AS {c}_size" for c in WIDE)
+       + " FROM t " + " ".join(f"LEFT JOIN s_{c} ON t.{c} = s_{c}.{c}" for c in WIDE))
+def one_hot_wide(spark, sf_dir):
+    """Slots of order and part, learnt from returned lines, for all lines; orders without a returned line have none."""
+    from ..sources import roles
+    lines = roles.read(spark, sf_dir, "lineitem").selectExpr("l_orderkey * 10 + l_linenumber AS line_id", "l_returnflag",
+                                                             "CAST(l_orderkey AS STRING) AS in_order", "CAST(l_partkey AS STRING) AS part")
+    model, _ = fit_stages(wide_one_hot_stages(WIDE), lines.where("l_returnflag = 'R'"))
+    out = model.transform(lines)
+    return out.select("line_id", *[e.alias(f"{c}_{n}") for c in WIDE for n, e in zip(("slot", "size"), slot_of(f"{c}_vec"))])

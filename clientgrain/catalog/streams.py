@@ -10,6 +10,7 @@ from ..operators.row_features import add_row_features
 from ..plans.scoring import check_records, score
 from ..session import scratch_path
 from ..sources import roles
+from ..streaming.batches import split_stream
 from ..streaming.scoring import application_stream, run_available
 from . import query
 from .common import rounded, with_roles
@@ -61,3 +62,13 @@ PROBLEM_SQL = ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in RECORD_
 def rejected_records(spark, sf_dir):
     records = roles.role_table(spark, sf_dir, "application").selectExpr("*", *[f"{e} AS {c}" for c, e in RECORDS.items()])
     return check_records(records)[1].select("SK_ID_CURR", F.concat_ws(",", "problems").alias("problems"))
+
+
+@query(f"{with_roles('application')}, r AS (SELECT *, {RECORD_SQL} FROM application) "
+       f"SELECT SK_ID_CURR, concat_ws(',', {PROBLEM_SQL}) = '' AS accepted, concat_ws(',', {PROBLEM_SQL}) AS problems FROM r")
+def stream_checked_records(spark, sf_dir):
+    """Accepted and rejected records of a stream, from the two folders they were written to."""
+    records = roles.as_role(_applications(spark, sf_dir), "application").selectExpr("*", *[f"{e} AS {c}" for c, e in RECORDS.items()])
+    good, bad = split_stream(records, scratch_path(spark, "accepted"), scratch_path(spark, "rejected"), scratch_path(spark, "progress"))
+    return (good.select("SK_ID_CURR", F.lit(True).alias("accepted"), F.lit("").alias("problems"))
+            .unionByName(bad.select("SK_ID_CURR", F.lit(False).alias("accepted"), F.concat_ws(",", "problems").alias("problems"))))

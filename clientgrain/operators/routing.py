@@ -56,7 +56,7 @@ class CategoryLimit(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
     def _fit(self, dataset: DataFrame) -> ColumnConformer:
         many = [c for c in self.getInputCols() if dataset.select(c).distinct().limit(MAX_ONE_HOT + 1).count() > MAX_ONE_HOT]
         if many:
-            raise ValueError(f"{many} have more than {MAX_ONE_HOT} categories; encode them by label means")
+            raise ValueError(f"{many} have more than {MAX_ONE_HOT} categories; encode them by label means or by one_hot.wide_one_hot_stages")
         return ColumnConformer(fields={})
 
 
