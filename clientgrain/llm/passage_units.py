@@ -2,8 +2,9 @@
 
 A text is cut before a word wherever a hash of that word and the one before it
 says so, whatever line ends or words stand around; where a few words recur over and
-over, before each of them, as there may be no such hash among them.  A unit begins at
-a cut and goes on to the first cut at least ``LEAST_WORDS`` words later.  Units are so
+over, the hashes say so everywhere or nowhere, and it is cut every ``LEAST_WORDS`` words
+from where that begins.  A unit begins at a cut and goes on to the first cut at least
+``LEAST_WORDS`` words later.  Units are so
 short that one changed word leaves them below the similarity asked for, so their
 band is their whole content.  Units that recur are laid on the first place of
 their content; neighbours with the same shift make a run of equal words.  Runs of
@@ -56,11 +57,17 @@ def word_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 def cuts_of(h: np.ndarray) -> np.ndarray:
     """The words, by their hashes, before which a text is cut."""
     pair = mixed(h[:-1]) ^ h[1:]
-    cut_here = pair * MIX >> np.uint64(40) < np.uint64(2 ** 24 // EVERY)
+    over = np.zeros(len(pair), dtype=bool)
     for p in range(1, min(PERIOD, (len(pair) - 1) // 2) + 1):
         same = pair[p:] == pair[:-p]
-        cut_here[2 * p:] |= same[p:] & same[:-p]
-    return np.nonzero(cut_here)[0] + 1
+        over[2 * p:] |= same[p:] & same[:-p]
+    hashed = pair * MIX >> np.uint64(40) < np.uint64(2 ** 24 // EVERY)
+    if over.any():
+        at = np.arange(len(over))
+        begins = over & ~np.concatenate([[False], over[:-1]])
+        since = at - np.maximum.accumulate(np.where(begins, at, 0))
+        hashed = np.where(over, since % LEAST_WORDS == 0, hashed)
+    return np.nonzero(hashed)[0] + 1
 
 
 def units_of(data: bytes, h: np.ndarray) -> tuple:
