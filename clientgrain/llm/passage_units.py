@@ -157,7 +157,7 @@ def repeated_passages(texts: DataFrame, units: DataFrame, min_words: int = MIN_W
                                          (F.col("r.low") - F.col("shift")).alias("low"), (F.col("r.high") - F.col("shift")).alias("high"))))
     ranges = cut(around.distinct().groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("low", "high")).alias("ranges")))
     single = stored(windows(texts.join(broadcast_if_small(ranges, ranges.count()), ["doc_id", "text_key"]), min_words))
-    firsts = cut(single.groupBy("h").agg(F.min(place()).alias("first"), F.max(place()).alias("last")).where("first != last").select("h", "first"))
+    firsts = cut(single.groupBy("h").agg(F.min(place()).alias("first"), F.count("*").alias("times")).where("times > 1").select("h", "first"))
     same = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
     again = (single.join(broadcast_if_small(firsts, firsts.count()), "h")
              .where((place() != F.col("first")) & (~same | (F.col("at") >= F.col("first.at") + min_words))))
