@@ -88,12 +88,15 @@ class WideOneHotModel(Model, _Columns, MLWritable, MLReadable):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         """Rows with a label that was not learnt, or none, get zeros."""
-        for c, output in zip(self.getInputCols(), self.getOutputCols()):
-            rows, text = self.getOrDefault(self.sizes)[c]
+        sizes = self.getOrDefault(self.sizes)
+        made = list(zip(self.getInputCols(), self.getOutputCols()))
+        for i, (c, _) in enumerate(made):
+            rows, text = sizes[c]
             table = self.slots.where(F.col("column") == c)
-            dataset = attach(dataset, {"label": F.col(c).cast("string")}, table, "slot", "_slot", rows, text)
-            dataset = dataset.withColumn(output, unit_vector(F.col("_slot"), rows)).drop("_slot")
-        return dataset
+            dataset = attach(dataset, {"label": F.col(c).cast("string")}, table, "slot", f"_slot{i}", rows, text)
+        # Vectors are made behind the last join, so that none is shuffled.
+        slots = [f"_slot{i}" for i in range(len(made))]
+        return dataset.withColumns({output: unit_vector(F.col(slot), sizes[c][0]) for slot, (c, output) in zip(slots, made)}).drop(*slots) if made else dataset
 
     def write(self):
         return _Writer(self)

@@ -77,3 +77,18 @@ def test_slots_by_slices(spark, limit):
     train = spark.range(3000).select(F.format_string("%05d", F.col("id") * 7).alias("c"))
     model = O.WideOneHot(inputCols=["c"], outputCols=["v"], single_pass_rows=limit).fit(train)
     assert [(r.label, r.slot) for r in model.slots.orderBy("slot").collect()] == [(f"{7 * i:05d}", i) for i in range(3000)]
+
+
+def test_vectors_are_not_shuffled(spark):
+    """They are made behind the joins, and of the counted keys only the frequent ones are stored."""
+    from clientgrain.operators import lookup as L
+    train = spark.createDataFrame([(f"a{i}", f"b{i}") for i in range(50)], "c string, d string")
+    model = O.WideOneHot(inputCols=["c", "d"], outputCols=["u", "v"]).fit(train)
+    model._set(sizes={"c": [50, 10 ** 9], "d": [50, 10 ** 9]})      # too much text to broadcast
+    out = model.transform(train)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" in plan and plan.rindex("from_json") < plan.index("Join")
+    assert out.columns == ["c", "d", "u", "v"]
+    many = spark.range(3000).select(F.col("id").cast("string").alias("c")).unionByName(spark.range(500).select(F.lit("hot").alias("c")))
+    kept = L._frequent(many, {"c": F.col("c")})
+    assert kept.count() == 1 and kept.schema["_digest"].dataType.simpleString() == "binary"
