@@ -84,6 +84,14 @@ def test_importance_finds_the_signal(planted):
     assert [r["rank"] for r in kept] == [1, 2]
 
 
+def test_prepared_vectors_are_stored(planted, capsys):
+    """A classifier that reads the vectors again does not prepare them again."""
+    TR.prepare("logistic_regression", planted, LISTS).rows.explain()
+    plan = capsys.readouterr().out
+    assert "Existing RDD" in plan or "ExistingRDD" in plan
+    assert "Join" not in plan and "EvalPython" not in plan
+
+
 def test_donors_are_a_permutation(spark):
     base = spark.range(1000).select(F.col("id").alias(ID), F.array(F.col("id").cast("double")).alias("x"))
     out = SE._with_donors(base, ID, 7, 42).select(F.col("x")[0].alias("own"), F.col("donor")[0].alias("other"))
