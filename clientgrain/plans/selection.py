@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import contract
 from ..functions.hashing import row_hash
+from ..operators import columnar
 from ..operators import metrics as MT
 from ..operators.routing import FEATURES
 from ..session import cut
@@ -21,6 +22,9 @@ from .training import SCORE, Trained
 
 REPEATS = 5
 BUCKET_ROWS = 10_000
+# The margins of one slot and repeat that one task orders, and the rows their cells are laid out by.
+CELL_ROWS = 100_000
+SAMPLE_ROWS = 20_000
 
 
 def _with_donors(base: DataFrame, row_id: str, buckets: int, seed: int) -> DataFrame:
@@ -60,25 +64,38 @@ def linear_weights(model) -> list[float] | None:
     return None
 
 
-def _drops(variants: DataFrame, baseline: float, label: str) -> DataFrame:
-    """(_slot, importance, importance_std) of rows (_repeat, _slot, label, score)."""
-    auc = MT.roc_auc(variants, label, SCORE, ["_repeat", "_slot"])
-    drops = auc.withColumn("_drop", F.lit(baseline) - F.col("roc_auc"))
+def _drops(areas: DataFrame, baseline: float) -> DataFrame:
+    """(_slot, importance, importance_std) of (_repeat, _slot, roc_auc)."""
+    drops = areas.withColumn("_drop", F.lit(baseline) - F.col("roc_auc"))
     return drops.groupBy("_slot").agg(F.avg("_drop").alias("importance"), F.stddev_pop("_drop").alias("importance_std"))
 
 
-def _with_repeats(base: DataFrame, row_id: str, repeats: int, seed: int, bucket_rows: int) -> DataFrame:
-    buckets = max(1, math.ceil(base.count() / bucket_rows))
+def _with_repeats(base: DataFrame, row_id: str, repeats: int, seed: int, bucket_rows: int, n_rows: int) -> DataFrame:
+    buckets = max(1, math.ceil(n_rows / bucket_rows))
     return reduce(DataFrame.unionByName, [
         _with_donors(base, row_id, buckets, seed + 2 * r + 2).withColumn("_repeat", F.lit(r)) for r in range(repeats)])
 
 
+def _cell_bounds(base: DataFrame, weight: Column, n_slots: int, used: Sequence[int], row_id: str, seed: int, n_rows: int) -> dict[int, list[int]]:
+    """Where the cells of each slot's moved margins end, from a sample of the rows; that decides who orders a margin, not the result."""
+    cells = math.ceil(n_rows / CELL_ROWS)
+    if cells < 2:
+        return {}
+    every = max(1, n_rows // SAMPLE_ROWS)
+    sample = _with_donors(base.where(F.pmod(row_hash(row_id, seed), F.lit(every)) == 0), row_id, max(1, SAMPLE_ROWS // BUCKET_ROWS), seed + 1)
+    moved = F.transform(F.zip_with("x", "donor", lambda own, other: other - own), lambda v, i: F.col("_margin") + v * F.get(weight, i))
+    arrays = cut(sample.where(F.col("x").isNotNull() & F.col("donor").isNotNull()).select(moved.alias("x")))
+    found = columnar.bounds(arrays, n_slots, cells)
+    return {s: found[s] for s in used}
+
+
 def linear_importance(base: DataFrame, weights: Sequence[float], names: Sequence[str], label: str = contract.TARGET_COLUMN,
                       row_id: str = contract.ID_COLUMN, repeats: int = REPEATS, seed: int = contract.SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """M12 for a linear margin over ``base`` (row id, label, array ``x``): (feature, importance, importance_std).
 
     A permuted slot changes a row's margin by weight times (donor - own), so no
-    vector is copied and no row scored again: a variant is a margin.
+    vector is copied and no row scored again: a variant is a margin, and
+    ``columnar.moved_areas`` orders them as packed numbers.
     """
     weight = F.lit([float(w) for w in weights])
     margin = F.aggregate(F.zip_with("x", weight, lambda v, w: v * w), F.lit(0.0), lambda a, v: a + v)
@@ -87,11 +104,10 @@ def linear_importance(base: DataFrame, weights: Sequence[float], names: Sequence
     slots = base.sparkSession.createDataFrame(list(enumerate(names)), "_slot int, feature string")
     used = [i for i, w in enumerate(weights) if w]
     if used and baseline is not None:
-        permuted = _with_repeats(base, row_id, repeats, seed, bucket_rows)
-        moved = F.transform(F.zip_with("x", "donor", lambda own, other: other - own), lambda v, i: F.struct(i.alias("_slot"), (v * F.get(weight, i)).alias("move")))
-        variants = (permuted.select("_repeat", label, "_margin", F.explode(F.filter(moved, lambda m: F.get(weight, m["_slot"]) != 0)).alias("m"))
-                    .select("_repeat", F.col("m._slot").alias("_slot"), label, (F.col("_margin") + F.col("m.move")).alias(SCORE)))
-        slots = slots.join(_drops(variants, baseline, label), "_slot", "left")
+        n_rows = base.count()
+        permuted = _with_repeats(base, row_id, repeats, seed, bucket_rows, n_rows)
+        areas = columnar.moved_areas(permuted, label, weights, used, _cell_bounds(base, weight, len(weights), used, row_id, seed, n_rows))
+        slots = slots.join(_drops(areas, baseline), "_slot", "left")
     else:
         slots = slots.withColumns({"importance": F.lit(None).cast("double"), "importance_std": F.lit(None).cast("double")})
     return _named(slots, used)
@@ -114,10 +130,11 @@ def permutation_importance(model, rows: DataFrame, names: Sequence[str], score:
     feature the model uses, with that slot taken from its donor; features it
     does not use lose exactly nothing.
     """
-    base = cut(rows.select(row_id, F.col(label).cast("int").alias(label), vector_to_array(FEATURES).alias("x")))
+    base = rows.select(row_id, F.col(label).cast("int").alias(label), vector_to_array(FEATURES).alias("x"))
     weights = linear_weights(model)
     if weights is not None:
         return linear_importance(base, weights, names, label, row_id, repeats, seed, bucket_rows)
+    base = cut(base)
     n = len(names)
     used = used_slots(model, n)
     slots = rows.sparkSession.createDataFrame(list(enumerate(names)), "_slot int, feature string")
@@ -125,11 +142,11 @@ def permutation_importance(model, rows: DataFrame, names: Sequence[str], score:
         unchanged = model.transform(base.select(label, array_to_vector("x").alias(FEATURES))).withColumn(SCORE, score)
         baseline = MT.roc_auc(unchanged, label, SCORE).first()["roc_auc"]
         slot = F.col("_slot")
-        variants = _with_repeats(base, row_id, repeats, seed, bucket_rows).withColumn("_slot", F.explode(F.array(*[F.lit(i) for i in used])))
+        variants = _with_repeats(base, row_id, repeats, seed, bucket_rows, base.count()).withColumn("_slot", F.explode(F.array(*[F.lit(i) for i in used])))
         swapped = F.concat(F.slice("x", F.lit(1), slot), F.array(F.get(F.col("donor"), slot)), F.slice("x", slot + 2, F.lit(n)))
         variants = variants.select("_repeat", "_slot", label, array_to_vector(swapped).alias(FEATURES))
         scored = model.transform(variants).withColumn(SCORE, score)
-        slots = slots.join(_drops(scored, baseline, label), "_slot", "left")
+        slots = slots.join(_drops(MT.roc_auc(scored, label, SCORE, ["_repeat", "_slot"]), baseline), "_slot", "left")
     else:
         slots = slots.withColumns({"importance": F.lit(None).cast("double"), "importance_std": F.lit(None).cast("double")})
     return _named(slots, used)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from clientgrain.operators import columnar as C
 from clientgrain.operators import encoders as E
+from clientgrain.operators import metrics as M
 from clientgrain.operators import packed as P
 
 
@@ -81,3 +82,27 @@ def test_no_rows(spark):
     model = P.PackedScaling(inputCols=["a"], outputCol="x").fit(none)
     assert model.transform(none).count() == 0
     assert model.getOrDefault(model.learned)["median"] == [0.0]
+
+
+@pytest.mark.parametrize("edges", [{}, {0: [0.0], 2: [-1.0, -0.0, 1.5]}])
+def test_areas_of_moved_margins(spark, edges):
+    """Packed margins against the area of rows: ties, nulls, not-a-numbers and a repeat with one class only."""
+    r = np.random.default_rng(3)
+    rows = []
+    for i in range(900):
+        own, other = (np.round(r.normal(0, 2, 3)).tolist() for _ in range(2))
+        if i % 50 == 0:
+            own[2] = None
+        if i % 70 == 0:
+            other[2] = float("nan")
+        rows.append((i % 3, int(r.random() < 0.3) if i % 3 < 2 else 1, None if i % 90 == 0 else float(np.round(r.normal())), own, other))
+    df = spark.createDataFrame(rows, "_repeat int, y int, _margin double, x array<double>, donor array<double>").repartition(4)
+    weights = [0.5, 0.0, -1.0]
+    codes = C.ordering()
+    cells = {s: sorted({int(codes(np.array([v]))[0]) for v in values}) for s, values in edges.items()}
+    found = {(a["_repeat"], a["_slot"]): a["roc_auc"] for a in C.moved_areas(df, "y", weights, [0, 2], cells).collect()}
+    for slot in (0, 2):
+        score = F.col("_margin") + (F.col("donor")[slot] - F.col("x")[slot]) * F.lit(weights[slot])
+        for a in M.roc_auc(df.withColumn("s", score), "y", "s", ["_repeat"]).collect():
+            assert found.pop((a["_repeat"], slot)) == a["roc_auc"]
+    assert not found

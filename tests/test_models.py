@@ -84,6 +84,15 @@ def test_importance_finds_the_signal(planted):
     assert [r["rank"] for r in kept] == [1, 2]
 
 
+def test_importance_does_not_depend_on_cells(planted, monkeypatch):
+    """Margins ordered in many cells give what one cell gives."""
+    train_rows, test_rows = train_and_test(planted)
+    trained = TR.fit("logistic_regression", train_rows, LISTS, max_iter=20)
+    whole = SE.importance_of(trained, test_rows, repeats=2).collect()
+    monkeypatch.setattr(SE, "CELL_ROWS", 20)
+    assert SE.importance_of(trained, test_rows, repeats=2).collect() == whole
+
+
 def test_prepared_vectors_are_stored(planted, capsys):
     """A classifier that reads the vectors again does not prepare them again."""
     TR.prepare("logistic_regression", planted, LISTS).rows.explain()
