@@ -15,7 +15,7 @@ from ..streaming.scoring import application_stream, run_available
 from . import query
 from .common import rounded, with_roles
 from .histories import FULL_STORE
-from .models import SCORE_SQL, checked_scores, saved_model
+from .models import SCORE_SQL, checked_scores, saved_model, stored_aggregates
 
 
 def _applications(spark, sf_dir):
@@ -42,9 +42,7 @@ def score_stream(spark, sf_dir):
 
 
 def streamed_scores(spark, sf_dir, name: str):
-    trained = saved_model(spark, sf_dir, name)
-    tables = roles.loan_tables(spark, sf_dir)
-    aggregates = HistoryAggregator(tables, scratch_path(spark, "aggregates")).fit(tables["application"]).aggregates
+    trained, aggregates = saved_model(spark, sf_dir, name), stored_aggregates(spark, sf_dir)
     return run_available(_applications(spark, sf_dir), lambda stream: score(roles.as_role(stream, "application"), trained, aggregates),
                          scratch_path(spark, "scores"), scratch_path(spark, "progress"))
 

@@ -161,6 +161,23 @@ def test_registered_stream_and_batch_scores_agree(spark, tiny):
     assert batch.count() == 150 and batch.exceptAll(stream).isEmpty() and stream.exceptAll(batch).isEmpty()
 
 
+def test_histories_are_aggregated_once(spark, tiny, monkeypatch):
+    """Training and scoring on a stream share the stored histories."""
+    from clientgrain import catalog
+    from clientgrain.operators import history
+    catalog.load()
+    from clientgrain.catalog import models, streams
+    made = []
+    aggregate = history.aggregate_histories
+    monkeypatch.setattr(history, "aggregate_histories", lambda *a, **k: made.append(1) or aggregate(*a, **k))
+    monkeypatch.setattr("clientgrain.plans.feature_store.aggregate_histories", history.aggregate_histories)
+    monkeypatch.setattr(models, "_shared", {})
+    monkeypatch.setattr(models, "_stores", {})
+    monkeypatch.setattr(streams, "saved_model", lambda spark, sf_dir, name: TR.fit("logistic_regression", models.stored(spark, sf_dir), LISTS, max_iter=3))
+    assert streams.streamed_scores(spark, tiny, "logistic_regression").count() == 150
+    assert made == [1]
+
+
 def test_request_contract(spark):
     from clientgrain.sources.schemas import scoring_record_schema
     schema = scoring_record_schema()
