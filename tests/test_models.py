@@ -167,13 +167,13 @@ def test_histories_are_aggregated_once(spark, tiny, monkeypatch):
     from clientgrain.operators import history
     catalog.load()
     from clientgrain.catalog import models, streams
-    made = []
+    made, lists = [], FeatureLists(LISTS.numerical, LISTS.categorical, ("FLAG_DOCUMENT_3",))
     aggregate = history.aggregate_histories
     monkeypatch.setattr(history, "aggregate_histories", lambda *a, **k: made.append(1) or aggregate(*a, **k))
     monkeypatch.setattr("clientgrain.plans.feature_store.aggregate_histories", history.aggregate_histories)
     monkeypatch.setattr(models, "_shared", {})
     monkeypatch.setattr(models, "_stores", {})
-    monkeypatch.setattr(streams, "saved_model", lambda spark, sf_dir, name: TR.fit("logistic_regression", models.stored(spark, sf_dir), LISTS, max_iter=3))
+    monkeypatch.setattr(streams, "saved_model", lambda spark, sf_dir, name: TR.fit("logistic_regression", models.stored(spark, sf_dir), lists, max_iter=3))
     assert streams.streamed_scores(spark, tiny, "logistic_regression").count() == 150
     assert made == [1]
 
