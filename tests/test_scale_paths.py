@@ -140,3 +140,38 @@ def test_hot_unseen_value_is_spread(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert max(sizes) < 3000
+
+
+def test_groups_of_all_sizes_have_exact_quantiles(spark):
+    """Small groups are counted by value, large ones bracketed; unknown columns and null groups keep their rows."""
+    data = [*skewed(), *[(None, float(i % 17)) for i in range(50)], *[(-1, None)] * 5]
+    df = spark.createDataFrame(data, "k int, v double").withColumn("w", -F.col("v"))
+    probs = [0.0, 0.25, 0.75, 1.0]
+    plain = exact_quantiles(df, ["v", "w"], probs, ["k"]).collect()
+    assert sorted(map(str, plain)) == sorted(map(str, exact_quantiles(df, ["v", "w"], probs, ["k"], group_rows=60).collect()))
+    got = {(r.k, r["column"], r.prob): (r.n, r.value) for r in plain}
+    assert len(got) == len(plain) == len({k for k, _ in data}) * 2 * len(probs)
+    for k in {k for k, _ in data}:
+        known = [v for g, v in data if g == k and v is not None]
+        for p in probs:
+            for c, sign in (("v", 1), ("w", -1)):
+                expected = pytest.approx(np.quantile(np.array(known) * sign, p), rel=1e-12) if known else None
+                assert got[k, c, p] == (len(known), expected)
+
+
+def test_hot_clients_are_read_once(spark, tmp_path):
+    """However many passes their quartiles take, the history joined before is computed for one of them."""
+    rows = [(k, i, v) for i, (k, v) in enumerate(skewed())]
+    spark.createDataFrame(rows, "SK_ID_CURR long, SK_ID_BUREAU long, a double").write.parquet(f"{tmp_path}/bureau")
+    stored = spark.read.parquet(f"{tmp_path}/bureau")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    out = H.wide_aggregate(stored.mapInArrow(counted, stored.schema), "SK_ID_CURR", "SK_ID_BUREAU", ("MEAN", "_Q25", "_Q75"), "B", "N",
+                           key_rows=stored, group_rows=10)
+    assert out.count() == len({k for k, _, _ in rows})
+    assert read.value == len(rows)
