@@ -175,3 +175,22 @@ def test_hot_clients_are_read_once(spark, tmp_path):
                            key_rows=stored, group_rows=10)
     assert out.count() == len({k for k, _, _ in rows})
     assert read.value == len(rows)
+
+
+def test_quartiles_shuffle_rows_and_not_what_was_gathered(spark):
+    """The rows of a client meet before anything is gathered for its quartiles; without quartiles means combine before the shuffle."""
+    rows = [(None if i % 50 == 0 else k, i, v) for i, (k, v) in enumerate(skewed())]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, SK_ID_BUREAU long, a double").repartition(7)
+    out = H.wide_aggregate(df, "SK_ID_CURR", "SK_ID_BUREAU", ("MEAN", "_Q25", "_Q75"), "B", "N")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_percentile" not in plan[plan.index("Exchange hashpartitioning(SK_ID_CURR"):]
+    means = H.wide_aggregate(df, "SK_ID_CURR", "SK_ID_BUREAU", ("MEAN",), "B", "N")
+    plan = means._jdf.queryExecution().executedPlan().toString()
+    assert "partial_avg" in plan[plan.index("Exchange hashpartitioning(SK_ID_CURR"):]
+    got = {r["SK_ID_CURR"]: r for r in out.collect()}
+    assert got.keys() == {k for k, _, _ in rows if k is not None}
+    for k, r in got.items():
+        of = [v for g, _, v in rows if g == k]
+        known = np.array([v for v in of if v is not None])
+        assert (r["N"], r["B_a__Q25"], r["B_a__Q75"]) == (len(of), *[pytest.approx(np.quantile(known, p), rel=1e-12) for p in (0.25, 0.75)])
+        assert r["B_a_MEAN"] == pytest.approx(known.mean(), rel=1e-12)
