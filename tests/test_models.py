@@ -1,5 +1,7 @@
 """Models are checked on a planted signal."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -211,3 +213,20 @@ def test_features_without_weight_lose_nothing(planted):
     trained = TR.fit("random_forest", train_rows, LISTS, **SMALL["random_forest"])
     table = {r.feature: (r.importance, r.importance_std) for r in SE.importance_of(trained, test_rows, repeats=2).collect()}
     assert table["AMT_CREDIT"] == (0.0, 0.0) and table["EXT_SOURCE_2"][0] > 0.02
+
+
+def test_the_comparison_trains_with_the_published_parameters(planted, monkeypatch):
+    """Every model of the catalogue is built with the parameters it is registered with, trees and patience included."""
+    from clientgrain import catalog
+    catalog.load()
+    from clientgrain.catalog import models
+    built = {}
+    for name, spec in MO.MODELS.items():
+        monkeypatch.setitem(MO.MODELS, name, replace(spec, build=lambda rows, label, params, _n=name, _s=spec: (built.__setitem__(_n, dict(params)), _s.build(rows, label, {**params, "max_iter": 3, "n_estimators": 1, "max_depth": 2}))[1]))
+    monkeypatch.setattr(models, "_shared", {})
+    monkeypatch.setattr(models, "split_rows", lambda spark, sf_dir: train_and_test(planted))
+    monkeypatch.setattr(models, "_lists", lambda df: LISTS)
+    table = models.train_and_compare(planted.sparkSession, "planted")
+    assert {r.model: r.overfit_follows for r in table.collect()} == dict.fromkeys(MO.MODELS, True)
+    assert built == {name: spec.params for name, spec in MO.MODELS.items()}
+    assert [built[n]["n_estimators"] for n in ("lightgbm", "xgboost", "catboost")] == [5000, 3000, 3000] and built["catboost"]["patience"] == 300
